@@ -8,6 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from kindred.fixed import FLAG_SUPERTYPE, LABEL_NAMES
+from kindred.functions.text import strip
 
 
 def _col(c: Column | str) -> Column:
@@ -16,14 +17,14 @@ def _col(c: Column | str) -> Column:
 
 def label_set(text: Column | str) -> Column:
     """Set of labels of a comma list; null is the empty set."""
-    parts = F.transform(F.split(_col(text), ",", -1), F.trim)
+    parts = F.transform(F.split(_col(text), ",", -1), lambda x: strip(x))
     return F.coalesce(F.array_distinct(parts), F.array().cast("array<string>"))
 
 
 def feature_labels(text: Column | str) -> Column:
     """Labels as features: null and empty text are the one label ``''``."""
     filled = F.coalesce(_col(text), F.lit(""))
-    return F.transform(F.split(filled, ",", -1), F.trim)
+    return F.transform(F.split(filled, ",", -1), lambda x: strip(x))
 
 
 def decode(label: Column, names: dict[str, str] | None = None) -> Column:

@@ -7,9 +7,13 @@ from pyspark.sql import functions as F
 
 from kindred.fixed import DROPPED_CHARS, LINE_MARK, SHOWN_LINE_MARK
 
-# Outer white space in the Unicode sense. Plain \s misses the no-break space,
-# and trim() removes blanks only.
-_OUTER_SPACE = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
+# What counts as white space at the ends of a text.
+# trim() alone removes blanks only.
+WHITE_SPACE = (
+    "\t\n\v\f\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 
 
 def _col(c: Column | str) -> Column:
@@ -18,7 +22,7 @@ def _col(c: Column | str) -> Column:
 
 def strip(text: Column | str) -> Column:
     """Remove leading and trailing white space of any kind."""
-    return F.regexp_replace(_col(text), _OUTER_SPACE, "")
+    return F.btrim(_col(text), F.lit(WHITE_SPACE))
 
 
 def tokens(text: Column | str) -> Column:

@@ -97,6 +97,6 @@ def nearest(
     The anchor's value is a scalar, so one pass with a bounded top-k is enough.
     """
     anchor = items.where(F.col(key) == anchor_id).orderBy(key).limit(1).select(column).scalar()
-    scored = items.where(F.col(key) != anchor_id).withColumn("similarity", measure(F.col(column), anchor))
-    known = scored.where(anchor.isNotNull())
-    return known.orderBy(F.col("similarity").desc(), key).limit(top)
+    known = items.where(F.col(key) != anchor_id).withColumn("_anchor", anchor).where(F.col("_anchor").isNotNull())
+    scored = known.withColumn("similarity", measure(F.col(column), F.col("_anchor"))).drop("_anchor")
+    return scored.orderBy(F.col("similarity").desc(), key).limit(top)

@@ -83,5 +83,12 @@ def with_row_order(scan: DataFrame, name: str = "ord") -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """CSV sink with a header and no index column."""
-    df.write.option("header", True).option("quote", '"').option("escape", '"').csv(path)
+    """CSV sink with a header and no index column; outer blanks are kept."""
+    df.write.csv(
+        path,
+        header=True,
+        quote='"',
+        escape='"',
+        ignoreLeadingWhiteSpace=False,
+        ignoreTrailingWhiteSpace=False,
+    )
