@@ -43,10 +43,10 @@ def _ranked_walk(scored: DataFrame, wanted: int, has_exit: bool) -> DataFrame:
     )
 
 
-def _score(members: DataFrame, scorers: DataFrame, items: DataFrame) -> DataFrame:
+def _score(members: DataFrame, scorers: DataFrame, items: DataFrame, n_scorers: int) -> DataFrame:
     """Add ``sim`` of each member to its scorer; no common word means 0."""
-    ids = cut(scorers.select(F.col("scorer_id").alias("item_id")).distinct())
-    chosen = items.join(small(ids, ids.count()), "item_id", "left_semi")
+    ids = scorers.select(F.col("scorer_id").alias("item_id")).distinct()
+    chosen = items.join(small(ids, n_scorers), "item_id", "left_semi")
     anchors = cut(chosen.select(F.col("item_id").alias("anchor_id"), "tokens"))
     shared = shared_phrases(anchors, items).withColumnRenamed("anchor_id", "scorer_id")
     return members.join(shared, ["scorer_id", "item_id"], "left").withColumn(
@@ -73,34 +73,31 @@ def greedy_set(
         members.select("anchor_id", "item_id", "ord", "rank", "cluster_pos", "n_phrases")
     )
     last = members.groupBy("anchor_id", "cluster_pos").agg(F.max("ord").alias("ord"))
-    last = cut(last.withColumn("is_last", F.lit(True)))  # one row per anchor and cluster
+    n_last, n_anchors = last.agg(F.count("*"), F.count_distinct("anchor_id")).first()
     marked = members.join(
-        small(last, last.count()), ["anchor_id", "cluster_pos", "ord"], "left"
+        small(last.withColumn("is_last", F.lit(True)), n_last), ["anchor_id", "cluster_pos", "ord"], "left"
     ).withColumn("is_last", F.coalesce("is_last", F.lit(False)))
     others = marked.where(F.col("item_id") != F.col("anchor_id"))
 
-    first_members = others.withColumn("scorer_id", F.col("anchor_id"))
     anchors = members.select(F.col("anchor_id").alias("scorer_id")).distinct()
-    first = cut(_ranked_walk(_score(first_members, anchors, items), min(first_span, size - 1), leave_clusters))
-    n_first = first.count()
+    scored = _score(others.withColumn("scorer_id", F.col("anchor_id")), anchors, items, n_anchors)
+    picks = first = cut(_ranked_walk(scored, min(first_span, size - 1), leave_clusters))
 
-    end = first.where(F.col("step") == first_span).select(
-        "anchor_id",
-        (F.col("cluster_pos") + F.when(F.col("is_last") & F.lit(leave_clusters), 1).otherwise(0)).alias("_from"),
-    )
-    scorer = first.where(F.col("step") == 1).select("anchor_id", F.col("item_id").alias("scorer_id"))
-    turn = cut(end.join(scorer, "anchor_id"))  # anchors that go on after the first span
-    n_turn = turn.count()
-
-    picks = first
-    if n_turn and size - 1 > first_span:
+    if size - 1 > first_span and not first.where(F.col("step") == first_span).isEmpty():
+        moved = F.when(F.col("is_last") & F.lit(leave_clusters), 1).otherwise(0)
+        start_from = first.where(F.col("step") == first_span).select(
+            "anchor_id", (F.col("cluster_pos") + moved).alias("_from")
+        )
+        scorer = first.where(F.col("step") == 1).select("anchor_id", F.col("item_id").alias("scorer_id"))
+        turn = start_from.join(scorer, "anchor_id")  # at most one row per anchor
+        taken = first.select("anchor_id", "item_id")
         left = (
-            others.join(small(turn, n_turn), "anchor_id")
+            others.join(small(turn, n_anchors), "anchor_id")
             .where(F.col("cluster_pos") >= F.col("_from"))
-            .join(small(first.select("anchor_id", "item_id"), n_first), ["anchor_id", "item_id"], "left_anti")
+            .join(small(taken, first_span * n_anchors), ["anchor_id", "item_id"], "left_anti")
         )
         second = _ranked_walk(
-            _score(left, turn.select("scorer_id"), items), size - 1 - first_span, leave_clusters
+            _score(left, turn, items, n_anchors), size - 1 - first_span, leave_clusters
         )
         picks = first.unionByName(second.withColumn("step", F.col("step") + first_span))
 

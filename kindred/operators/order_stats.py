@@ -9,7 +9,7 @@ is one row after the partial count, so ties cost nothing.
 from __future__ import annotations
 
 from bisect import bisect_right
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 from itertools import accumulate
 from operator import or_
@@ -18,20 +18,29 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKETS = 1024
+BUCKETS = 256
 
 
-def values_at(df: DataFrame, key: str, bucket: str, positions: Sequence[int]) -> list:
+Positions = Sequence[int] | Callable[[int], Sequence[int]]
+
+
+def values_at(df: DataFrame, key: str, bucket: str, positions: Positions) -> list:
     """Values of ``key`` at the sorted positions (from 0).
 
-    ``bucket`` must not decrease as ``key`` grows.  What reaches the driver is
-    one count per bucket and one value per position.
+    ``positions`` may be a function of the row count.  ``bucket`` must not
+    decrease as ``key`` grows.  What reaches the driver is one count per bucket
+    and one value per position.
     """
     sizes = sorted((r[0], r[1]) for r in df.groupBy(bucket).count().collect())
     names = [b for b, _ in sizes]
     ends = list(accumulate(n for _, n in sizes))
-    if not ends or max(positions) >= ends[-1] or min(positions) < 0:
-        raise ValueError(f"positions must lie in 0..{(ends or [0])[-1] - 1}")
+    n_rows = ends[-1] if ends else 0
+    if callable(positions):
+        positions = positions(n_rows)
+    if not positions:
+        return []
+    if max(positions) >= n_rows or min(positions) < 0:
+        raise ValueError(f"positions must lie in 0..{n_rows - 1}")
     targets = []
     for position in positions:
         at = bisect_right(ends, position)
@@ -58,17 +67,18 @@ def values_at(df: DataFrame, key: str, bucket: str, positions: Sequence[int]) ->
     return [found[t] for t in targets]
 
 
-def numeric_values_at(df: DataFrame, column: str, positions: Sequence[int]) -> list[float]:
+def numeric_values_at(df: DataFrame, column: str, positions: Positions) -> list[float]:
     """``values_at`` for a number column; buckets follow approximate quantiles."""
-    fractions = [i / BUCKETS for i in range(1, BUCKETS)]
     numbers = df.select(F.col(column).cast("double").alias("_key")).where(F.col("_key").isNotNull())
-    splits = numbers.agg(F.percentile_approx("_key", fractions, 10 * BUCKETS)).first()[0] or []
+    fractions = ", ".join(f"{i}D / {BUCKETS}" for i in range(1, BUCKETS))
+    sketch = F.expr(f"percentile_approx(_key, array({fractions}), {10 * BUCKETS})")
+    splits = numbers.agg(sketch).first()[0] or []
     edges = [float("-inf"), *sorted(set(splits)), float("inf")]
     bucketed = Bucketizer(splits=edges, inputCol="_key", outputCol="_bucket").transform(numbers)
     return values_at(bucketed, "_key", "_bucket", positions)
 
 
-def digest_values_at(df: DataFrame, key: str, positions: Sequence[int], digits: int = 3) -> list[str]:
+def digest_values_at(df: DataFrame, key: str, positions: Positions, digits: int = 3) -> list[str]:
     """``values_at`` for a hex digest; its leading digits are even buckets."""
     keyed = df.select(F.col(key).alias("_key"), F.substring(key, 1, digits).alias("_bucket"))
     return values_at(keyed, "_key", "_bucket", positions)

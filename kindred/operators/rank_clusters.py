@@ -14,11 +14,13 @@ from kindred.operators.order_stats import numeric_values_at
 
 def bucket_edges(items: DataFrame, k: int, column: str = "rank") -> list[tuple[float, float]]:
     """Lowest and highest rank of k buckets of equal count."""
-    n = items.where(F.col(column).isNotNull()).count()
-    if n < k:
-        raise ValueError(f"{n} items cannot fill {k} buckets")
-    positions = [p for i in range(k) for p in (i * n // k, (i + 1) * n // k - 1)]
-    values = numeric_values_at(items, column, positions)
+
+    def ends(n: int) -> list[int]:
+        if n < k:
+            raise ValueError(f"{n} items cannot fill {k} buckets")
+        return [p for i in range(k) for p in (i * n // k, (i + 1) * n // k - 1)]
+
+    values = numeric_values_at(items, column, ends)
     return list(zip(values[0::2], values[1::2], strict=True))
 
 

@@ -16,12 +16,10 @@ def fit(df: DataFrame, x: str, y: str) -> DataFrame:
 
 def predict(df: DataFrame, model: DataFrame, x: str, output: str = "prediction") -> DataFrame:
     """Add the prediction of a one-row model. Works on streams as well."""
-    line = F.col("intercept") + F.col("slope") * F.col("_x")
-    one = model.limit(1)
-    with_model = df.withColumns(
-        {"_x": F.col(x), "slope": one.select("slope").scalar(), "intercept": one.select("intercept").scalar()}
-    )
-    return with_model.withColumn(output, line).drop("_x", "slope", "intercept")
+    line = model.limit(1).select(F.struct("slope", "intercept")).scalar()
+    with_line = df.withColumn("_line", line)
+    value = F.col("_line.intercept") + F.col("_line.slope") * F.col(x)
+    return with_line.withColumn(output, value).drop("_line")
 
 
 def training_error(df: DataFrame, x: str, y: str) -> DataFrame:
@@ -42,13 +40,15 @@ def assign_folds(df: DataFrame, key: str | Column, k: int, *, seed: int = 42, ex
     digest = shuffle_key(seed, F.col(key) if isinstance(key, str) else key)
     if not exact:
         return df.withColumn("fold", F.pmod(F.conv(F.substring(digest, 1, 8), 16, 10).cast("long"), F.lit(k)))
-    n = df.count()
-    size = n // k
-    if size == 0:
-        raise ValueError(f"{n} rows cannot fill {k} folds")
-    positions = [i * size for i in range(1, k + 1) if i * size < n]
+
+    def edges_of(n: int) -> list[int]:
+        size = n // k
+        if size == 0:
+            raise ValueError(f"{n} rows cannot fill {k} folds")
+        return [i * size for i in range(1, k + 1) if i * size < n]
+
     keyed = df.withColumn("_digest", digest)
-    edges = digest_values_at(keyed, "_digest", positions)
+    edges = digest_values_at(keyed, "_digest", edges_of)
     fold = sum([(F.col("_digest") >= e).cast("long") for e in edges], F.lit(0).cast("long"))
     return keyed.withColumn("fold", fold).drop("_digest")
 
@@ -105,13 +105,15 @@ def split_train_test(
     df: DataFrame, key: str | Column, *, test_share: float = 0.25, seed: int = 42
 ) -> DataFrame:
     """Add ``is_test``: the last rows of a seeded shuffle, an exact count of them."""
-    n = df.count()
-    n_test = -int(-n * test_share // 1)
     keyed = df.withColumn("_digest", shuffle_key(seed, F.col(key) if isinstance(key, str) else key))
-    if not 0 < n_test < n:
-        return keyed.withColumn("is_test", F.lit(n_test > 0)).drop("_digest")
-    (edge,) = digest_values_at(keyed, "_digest", [n - n_test])
-    return keyed.withColumn("is_test", F.col("_digest") >= edge).drop("_digest")
+
+    def first_test(n: int) -> list[int]:
+        n_test = -int(-n * test_share // 1)
+        return [n - n_test] if 0 < n_test <= n else []
+
+    edge = digest_values_at(keyed, "_digest", first_test)
+    is_test = F.col("_digest") >= edge[0] if edge else F.lit(False)
+    return keyed.withColumn("is_test", is_test).drop("_digest")
 
 
 def synthetic_score(df: DataFrame, rank: str, key: str | Column, *, seed: int = 0, output: str = "score") -> DataFrame:
