@@ -82,3 +82,21 @@ def digest_values_at(df: DataFrame, key: str, positions: Positions, digits: int
     """``values_at`` for a hex digest; its leading digits are even buckets."""
     keyed = df.select(F.col(key).alias("_key"), F.substring(key, 1, digits).alias("_bucket"))
     return values_at(keyed, "_key", "_bucket", positions)
+
+
+def with_position(df: DataFrame, column: str, output: str) -> DataFrame:
+    """Add the position (from 0) of each row in the order of a distinct number column.
+
+    Buckets follow approximate quantiles; a row's position is the number of rows
+    in lower buckets plus its place in its own.
+    """
+    fractions = ", ".join(f"{i}D / {BUCKETS}" for i in range(1, BUCKETS))
+    sketch = F.expr(f"percentile_approx(CAST(`{column}` AS DOUBLE), array({fractions}), {10 * BUCKETS})")
+    edges = [float("-inf"), *sorted(set(df.agg(sketch).first()[0] or [])), float("inf")]
+    keyed = df.withColumn("_key", F.col(column).cast("double"))
+    bucketed = Bucketizer(splits=edges, inputCol="_key", outputCol="_bucket").transform(keyed)
+    sizes = sorted((r[0], r[1]) for r in bucketed.groupBy("_bucket").count().collect())
+    before = dict(zip([b for b, _ in sizes], [0, *accumulate(n for _, n in sizes)], strict=False))
+    offset = F.coalesce(*[F.when(F.col("_bucket") == b, F.lit(n)) for b, n in before.items()], F.lit(0))
+    place = F.row_number().over(Window.partitionBy("_bucket").orderBy(column)) - 1
+    return bucketed.withColumn(output, (place + offset).cast("long")).drop("_key", "_bucket")

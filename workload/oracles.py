@@ -359,6 +359,23 @@ SELECT name AS cardname, types, replace(text, {MARK}, '- ') AS text, coalesce(ma
        replace(text, {MARK}, '- ') AS cardtext, edhrecRank AS edhrec, edhrecRank_prediction AS edhrec_predicted, sim_score
 FROM recs WHERE name = 'doc-278' LIMIT 1"""
 
+    # features and clustering
+    sql["standardise"] = f"""WITH m AS (
+  SELECT avg(p_size) AS a, stddev_pop(p_size) AS b, avg(p_retailprice) AS c, stddev_pop(p_retailprice) AS d FROM part)
+SELECT p_partkey, {rounded('(p_size - a) / b', 9, 'p_size')}, {rounded('(p_retailprice - c) / d', 9, 'p_retailprice')} FROM part, m"""
+    # A differing 0/1 column puts rows at least 2 apart, so only equal rows are neighbours.
+    sql["dbscan"] = f"""WITH {FEATURES},
+sets AS (SELECT item_id, string_agg(label, '|' ORDER BY label) AS s FROM labelled GROUP BY 1),
+sized AS (SELECT item_id, count(*) OVER (PARTITION BY s) AS n, min(item_id) OVER (PARTITION BY s) AS lead FROM sets),
+numbered AS (SELECT lead, row_number() OVER (ORDER BY lead) - 1 AS k FROM (SELECT DISTINCT lead FROM sized WHERE n >= 5))
+SELECT item_id, coalesce(k, -1) AS cluster FROM sized LEFT JOIN numbered USING (lead)"""
+    sql["silhouette"] = f"""WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e, label FROM embeddings),
+sums AS (SELECT a.vec_id, a.label AS own, b.label AS other, sum(list_distance(a.e, b.e)) AS total, count(*) AS n
+         FROM v a CROSS JOIN v b GROUP BY ALL),
+ab AS (SELECT vec_id, max(n) FILTER (own = other) AS n_own, sum(total / (n - 1)) FILTER (own = other AND n > 1) AS a,
+              min(total / n) FILTER (own <> other) AS b FROM sums GROUP BY 1)
+SELECT {rounded('avg(CASE WHEN n_own > 1 THEN (b - a) / greatest(a, b) ELSE 0 END)', 7, 'silhouette')} FROM ab"""
+
     # regression
     sql["linreg"] = f"""WITH {LINES} SELECT {rounded('regr_slope(y, x)', 6, 'slope')}, {rounded('regr_intercept(y, x)', 4, 'intercept')} FROM lines"""
     sql["training_mse"] = f"""WITH {LINES}, m AS (SELECT regr_slope(y, x) AS b, regr_intercept(y, x) AS a FROM lines)

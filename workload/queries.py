@@ -21,9 +21,9 @@ from kindred.functions.text import (
 )
 from kindred.operators import (
     clean,
+    features,
     labelsets,
     lookup,
-    order_stats,
     overlap,
     profile,
     rank_clusters,
@@ -31,7 +31,10 @@ from kindred.operators import (
     rules,
 )
 from kindred.operators.candidates import candidates as find_candidates
-from kindred.plans import related, upcoming
+from kindred.operators.dbscan import dbscan as run_dbscan
+from kindred.operators.silhouette import silhouette as score_silhouette
+from kindred.operators.ward import ward as run_ward
+from kindred.plans import feature_report, related, upcoming
 from kindred.sources import dictionary, staging, tables
 
 ANCHOR = "doc-1"
@@ -389,6 +392,69 @@ def recommendation_lookup(spark, sf_dir):
     )
 
 
+# --- features and clustering -------------------------------------------------
+
+
+def standardise(spark, sf_dir):
+    parts = table(spark, sf_dir, "part", "p_partkey", "p_size", "p_retailprice")
+    scaled = features.standardise(parts, ["p_size", "p_retailprice"])
+    return scaled.select(
+        "p_partkey", F.round("p_size", 9).alias("p_size"), F.round("p_retailprice", 9).alias("p_retailprice")
+    )
+
+
+def _featured_orders(spark, sf_dir):
+    return labelsets.item_features(order_items(spark, sf_dir)).select("item_id", "ord", "features")
+
+
+def dbscan(spark, sf_dir):
+    """Standardised multi-hot labels of orders."""
+    items = _featured_orders(spark, sf_dir)
+    points = features.standardised_label_points(items)
+    found = run_dbscan(points).join(points.select("pid", "features"), "pid")
+    return items.join(found, "features").select("item_id", "cluster")
+
+
+def dbscan_points(spark, sf_dir):
+    """Two numeric columns, standardised."""
+    scaled = features.standardise(
+        table(spark, sf_dir, "part", "p_partkey", "p_size", "p_retailprice"), ["p_size", "p_retailprice"]
+    ).withColumn("vector", F.array("p_size", "p_retailprice"))
+    points = features.distinct_points(scaled, order="p_partkey")
+    found = run_dbscan(points, eps=0.1).join(points.select("pid", "vector"), "pid")
+    return scaled.join(found, "vector").select("p_partkey", "cluster")
+
+
+def _embedding_points(spark, sf_dir):
+    items = table(spark, sf_dir, "embeddings").withColumn("vector", F.col("embedding").cast("array<double>"))
+    return items, features.distinct_points(items, order="vec_id")
+
+
+def kmeans(spark, sf_dir):
+    _, points = _embedding_points(spark, sf_dir)
+    placed = features.kmeans(points, weight="weight")
+    return placed.select(F.col("pid").alias("vec_id"), "cluster")
+
+
+def ward(spark, sf_dir):
+    _, points = _embedding_points(spark, sf_dir)
+    return run_ward(points).select(F.col("pid").alias("vec_id"), "cluster")
+
+
+def silhouette(spark, sf_dir):
+    items, _ = _embedding_points(spark, sf_dir)
+    points = items.groupBy("vector", F.col("label").alias("cluster")).agg(
+        F.min("vec_id").alias("pid"), F.count("*").alias("weight")
+    )
+    return score_silhouette(points).select(F.round("silhouette", 7).alias("silhouette"))
+
+
+def cluster_scores(spark, sf_dir):
+    items = _featured_orders(spark, sf_dir)
+    points = features.standardised_label_points(items)
+    return feature_report.cluster_scores(feature_report.cluster_points(points))
+
+
 # --- regression --------------------------------------------------------------
 
 
@@ -493,6 +559,7 @@ REGISTERED: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     bucket_edges, rank_kmeans, cluster_sse, cluster_boundary, cluster_counts,
     greedy_set, triple_rules, triple_rules_last, triple_rules_mean, top_rules,
     related_items, related_names, upcoming_recs, recommendation_lookup,
+    standardise, dbscan, dbscan_points, kmeans, ward, silhouette, cluster_scores,
     linreg, training_mse, kfold_mse, train_test_split, synthetic_score, random_draws,
     prediction_sample, plot_series,
     csv_roundtrip, csv_row_order, keyword_dictionary, keyword_categories,
