@@ -1,44 +1,53 @@
-"""Connected components by repeated minimum labels."""
+"""Connected components by repeated contraction."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kindred.sources.staging import cut
 
+# Rounds whose maps are applied to the nodes before the result is written.
+ROUNDS_PER_CUT = 4
+
 
 def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """``(pid, component)``: the least node of each node's component.
 
-    Each round takes the least label among the neighbours and then the label of
-    that label, so labels travel in doubling steps.  A round's result is written
-    to shared storage before the next begins.
+    Each round gives the nodes a fresh hashed priority, maps every node that
+    still has edges to its first neighbour in that order, or to itself where it
+    comes first, follows the map once more, and replaces the edges by edges
+    between mapped nodes.  A constant share of the nodes with edges vanishes per
+    round whatever the order of the ids.  Edges are made distinct each round,
+    which also dissolves hubs.
     """
-    both = cut(
-        edges.select(F.col("a").alias("pid"), F.col("b").alias("other")).unionByName(
-            edges.select(F.col("b").alias("pid"), F.col("a").alias("other"))
-        )
-    )
+    both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    live = cut(both.where(F.col("a") != F.col("b")).distinct())
     labels = nodes.select("pid", F.col("pid").alias("component"))
-    if both.isEmpty():
-        return labels
-    labels = cut(labels)
-    while True:
-        offered = (
-            both.join(labels.withColumnRenamed("pid", "other"), "other")
-            .groupBy("pid")
-            .agg(F.min("component").alias("_least"))
-        )
-        lower = labels.join(offered, "pid", "left").select(
-            "pid", F.col("component").alias("_old"), F.least("component", "_least").alias("component")
+    turn = 0
+    while not live.isEmpty():
+        turn += 1
+
+        def ranked(node: str) -> Column:
+            return F.struct(F.xxhash64(node, F.lit(turn)).alias("p"), F.col(node).alias("node"))
+
+        hop = live.groupBy("a").agg(F.least(F.min(ranked("b")), ranked("a"))["node"].alias("to"))
+        onward = hop.select(F.col("a").alias("to"), F.col("to").alias("further"))
+        step = cut(hop.join(onward, "to").select("a", F.col("further").alias("to")))
+        labels = labels.join(step.withColumnRenamed("a", "component"), "component", "left").select(
+            "pid", F.coalesce("to", "component").alias("component")
         )
-        roots = lower.select(F.col("pid").alias("component"), F.col("component").alias("_root"))
-        jumped = cut(
-            lower.join(roots, "component", "left").select(
-                "pid", "_old", F.least("component", "_root").alias("component")
-            )
+        if turn % ROUNDS_PER_CUT == 0:
+            labels = cut(labels)
+        live = cut(
+            live.join(step, "a")
+            .join(step.select(F.col("a").alias("b"), F.col("to").alias("to_b")), "b")
+            .select(F.col("to").alias("a"), F.col("to_b").alias("b"))
+            .where(F.col("a") != F.col("b"))
+            .distinct()
         )
-        labels = jumped.select("pid", "component")
-        if jumped.where(F.col("component") != F.col("_old")).isEmpty():
-            return labels
+    if turn == 0:
+        return labels
+    labels = cut(labels)
+    least = labels.groupBy("component").agg(F.min("pid").alias("_least"))
+    return labels.join(least, "component").select("pid", F.col("_least").alias("component"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -30,44 +32,47 @@ def _nearest_in_block(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
     )
 
 
-def merges(points: DataFrame, stop_at: int = 1) -> DataFrame:
+def merges(points: DataFrame, n: int, stop_at: int = 1) -> DataFrame | None:
     """``(a, b, height, step)`` of the merges down to ``stop_at`` groups or fewer.
 
     Two groups that are each other's nearest neighbour merge in any order with
     the same result, so each round merges all such pairs at once.  Heights never
     decrease up the tree, so the rounds end once every merge not yet made is
-    known to lie above the ones needed.
+    known to lie above the ones needed.  ``n`` is the number of points; a single
+    point has no merges.
     """
     groups = cut(points.select("pid", "vector", F.col("weight").cast("double").alias("weight")))
-    n = left = groups.count()
-    done: DataFrame | None = None
-    step = 0
+    left = groups.count()
+    rounds: list[DataFrame] = []
     while left > 1:
         found = by_blocks(groups, left, _nearest_in_block, "pid long, other long, cost double")
-        best = cut(
+        best = (
             found.where(F.col("cost") != float("inf"))
             .groupBy("pid")
             .agg(F.min(F.struct("cost", "other")).alias("_m"))
-            .select("pid", F.col("_m.other").alias("other"), F.col("_m.cost").alias("cost"))
+            .select("pid", F.col("_m.other").alias("other"), F.col("_m.cost").alias("height"))
         )
-        if done is not None:
-            floor = best.agg(F.min("cost")).first()[0]
-            if done.where(F.col("height") < floor).count() >= n - stop_at:
+        if left <= stop_at:
+            floor = best.agg(F.min("height")).first()[0]
+            needed = _union(rounds).orderBy("height").limit(n - stop_at).agg(F.max("height")).first()[0]
+            if needed is None or needed <= floor:
                 break
-        back = best.select(F.col("pid").alias("other"), F.col("other").alias("pid"))
-        pairs = best.join(back, ["pid", "other"]).where(F.col("pid") < F.col("other"))
-        if pairs.isEmpty():  # rounding hid the mutual pair: merge the cheapest one
-            pairs = best.orderBy("cost", "pid", "other").limit(1)
-        step += 1
+        named = best.select(
+            F.least("pid", "other").alias("a"), F.greatest("pid", "other").alias("b"), "height"
+        )
+        # A pair named from both sides is mutual.
         pairs = cut(
-            pairs.select(
-                F.least("pid", "other").alias("a"),
-                F.greatest("pid", "other").alias("b"),
-                F.col("cost").alias("height"),
-                F.lit(step).alias("step"),
-            )
+            named.groupBy("a", "b")
+            .agg(F.count("*").alias("sides"), F.max("height").alias("height"))
+            .where(F.col("sides") == 2)
+            .select("a", "b", "height", F.lit(len(rounds)).alias("step"))
         )
-        done = cut(pairs if done is None else done.unionByName(pairs))
+        made = pairs.count()
+        if not made:  # rounding hid the mutual pair: merge the cheapest one
+            pairs = cut(named.orderBy("height", "a", "b").limit(1).withColumn("step", F.lit(len(rounds))))
+            made = 1
+        rounds.append(pairs)
+        left -= made
 
         second = groups.select(F.col("pid").alias("b"), F.col("vector").alias("vb"), F.col("weight").alias("wb"))
         total = F.col("weight") + F.col("wb")
@@ -77,10 +82,11 @@ def merges(points: DataFrame, stop_at: int = 1) -> DataFrame:
         kept = groups.join(pairs.select(F.col("b").alias("pid")), "pid", "left_anti")
         merged = kept.join(pairs.select(F.col("a").alias("pid"), "b"), "pid", "left").join(second, "b", "left")
         groups = cut(merged.select("pid", mean.alias("vector"), F.coalesce(total, "weight").alias("weight")))
-        left = groups.count()
-    if done is None:
-        return points.sparkSession.createDataFrame([], "a long, b long, height double, step int")
-    return done
+    return _union(rounds) if rounds else None
+
+
+def _union(parts: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, parts)
 
 
 def ward(points: DataFrame, k: int = FEATURE_CLUSTERS, *, exact_points: int = EXACT_POINTS) -> DataFrame:
@@ -104,5 +110,8 @@ def ward(points: DataFrame, k: int = FEATURE_CLUSTERS, *, exact_points: int = EX
         centres = cut(centres)
         placed = ward(centres, k, exact_points=exact_points).join(centres.select("pid", "_g"), "pid")
         return grouped.select("pid", "_g").join(placed.select("_g", "cluster"), "_g").select("pid", "cluster")
-    tree = merges(points, k).orderBy("height", "step", "a").limit(max(n - k, 0))
-    return components(points, cut(tree)).withColumnRenamed("component", "cluster")
+    tree = merges(points, n, k)
+    if tree is None or n <= k:
+        return points.select("pid", F.col("pid").alias("cluster"))
+    lowest = cut(tree.orderBy("height", "step", "a").limit(n - k))
+    return components(points, lowest).withColumnRenamed("component", "cluster")
