@@ -437,8 +437,11 @@ def kmeans(spark, sf_dir):
 
 
 def ward(spark, sf_dir):
-    _, points = _embedding_points(spark, sf_dir)
-    return run_ward(points).select(F.col("pid").alias("vec_id"), "cluster")
+    """Standardised multi-hot labels of orders."""
+    items = _featured_orders(spark, sf_dir)
+    points = staging.cut(features.standardised_label_points(items))
+    found = run_ward(points).join(points.select("pid", "features"), "pid")
+    return items.join(found, "features").select("item_id", "cluster")
 
 
 def silhouette(spark, sf_dir):
