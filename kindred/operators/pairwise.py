@@ -38,6 +38,7 @@ def by_blocks(
     every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)).cast("array<bigint>"))
     left = dealt.withColumnRenamed("_own", "_i").withColumn("_j", every)
     right = dealt.withColumnRenamed("_own", "_j").withColumn("_i", every)
+    right = right.select(*[F.col(c).alias(c) for c in left.columns])  # columns of its own
 
     def apply(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         if a.empty or b.empty:
