@@ -67,14 +67,19 @@ def values_at(df: DataFrame, key: str, bucket: str, positions: Positions) -> lis
     return [found[t] for t in targets]
 
 
-def numeric_values_at(df: DataFrame, column: str, positions: Positions) -> list[float]:
-    """``values_at`` for a number column; buckets follow approximate quantiles."""
-    numbers = df.select(F.col(column).cast("double").alias("_key")).where(F.col("_key").isNotNull())
+def _bucketed(numbers: DataFrame) -> DataFrame:
+    """Add ``_bucket`` to ``_key``: ranges between approximate quantiles."""
     fractions = ", ".join(f"{i}D / {BUCKETS}" for i in range(1, BUCKETS))
     sketch = F.expr(f"percentile_approx(_key, array({fractions}), {10 * BUCKETS})")
-    splits = numbers.agg(sketch).first()[0] or []
+    splits = numbers.agg(sketch).first()[0] or [0.0]
     edges = [float("-inf"), *sorted(set(splits)), float("inf")]
-    bucketed = Bucketizer(splits=edges, inputCol="_key", outputCol="_bucket").transform(numbers)
+    return Bucketizer(splits=edges, inputCol="_key", outputCol="_bucket").transform(numbers)
+
+
+def numeric_values_at(df: DataFrame, column: str, positions: Positions) -> list[float]:
+    """``values_at`` for a number column; buckets follow approximate quantiles."""
+    numbers = df.select(F.col(column).cast("double").alias("_key")).where(F.col("_key").isNotNull())
+    bucketed = _bucketed(numbers)
     return values_at(bucketed, "_key", "_bucket", positions)
 
 
@@ -90,11 +95,7 @@ def with_position(df: DataFrame, column: str, output: str) -> DataFrame:
     Buckets follow approximate quantiles; a row's position is the number of rows
     in lower buckets plus its place in its own.
     """
-    fractions = ", ".join(f"{i}D / {BUCKETS}" for i in range(1, BUCKETS))
-    sketch = F.expr(f"percentile_approx(CAST(`{column}` AS DOUBLE), array({fractions}), {10 * BUCKETS})")
-    edges = [float("-inf"), *sorted(set(df.agg(sketch).first()[0] or [])), float("inf")]
-    keyed = df.withColumn("_key", F.col(column).cast("double"))
-    bucketed = Bucketizer(splits=edges, inputCol="_key", outputCol="_bucket").transform(keyed)
+    bucketed = _bucketed(df.withColumn("_key", F.col(column).cast("double")))
     sizes = sorted((r[0], r[1]) for r in bucketed.groupBy("_bucket").count().collect())
     before = dict(zip([b for b, _ in sizes], [0, *accumulate(n for _, n in sizes)], strict=False))
     offset = F.coalesce(*[F.when(F.col("_bucket") == b, F.lit(n)) for b, n in before.items()], F.lit(0))

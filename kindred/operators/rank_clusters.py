@@ -13,12 +13,11 @@ from kindred.operators.order_stats import numeric_values_at
 
 
 def bucket_edges(items: DataFrame, k: int, column: str = "rank") -> list[tuple[float, float]]:
-    """Lowest and highest rank of k buckets of equal count."""
+    """Lowest and highest rank of k buckets of equal count; of fewer if items are fewer."""
 
     def ends(n: int) -> list[int]:
-        if n < k:
-            raise ValueError(f"{n} items cannot fill {k} buckets")
-        return [p for i in range(k) for p in (i * n // k, (i + 1) * n // k - 1)]
+        buckets = min(k, n)
+        return [p for i in range(buckets) for p in (i * n // buckets, (i + 1) * n // buckets - 1)]
 
     values = numeric_values_at(items, column, ends)
     return list(zip(values[0::2], values[1::2], strict=True))
@@ -61,6 +60,9 @@ def assign_clusters(
     the mean of the items assigned.  There is one assignment step only.
     """
     seeds = pick_seeds(items, k, column, seeding=seeding, seed=seed)
+    if not seeds:
+        nothing = {"centroid": F.lit(None).cast("double"), "cluster_pos": F.lit(0)}
+        return items.withColumns(nothing).where(F.lit(False))
     rank = F.col(column)
     options = [F.struct(F.abs(rank - s).alias("far"), F.lit(i).alias("i")) for i, s in enumerate(seeds)]
     nearest = items.withColumn("_seed", F.array_min(F.array(*options))["i"])

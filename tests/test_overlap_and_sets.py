@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from kindred.functions.text import phrase_count, tokens
+from kindred.functions.text import tokens
 from kindred.operators.candidates import candidates
 from kindred.operators.decks import greedy_set
 from kindred.operators.overlap import shared_phrases, similarity
@@ -183,4 +183,13 @@ def test_jobs_end_to_end(spark):
     legal = upcoming_recommendations(items, coming, related, "n3", legal_only=True).collect()
     assert all(r.card_index % 3 == 0 for r in legal)
     assert upcoming_recommendations(items, coming, related, "nobody").count() == 0
-    assert phrase_count is not None
+
+
+def test_unknown_anchor_and_few_items(spark):
+    rows = [(i, i, f"n{i}", t, [], float(i)) for i, t in enumerate(["a b", "a", "b c"])]
+    items = spark.createDataFrame(
+        rows, "item_id long, ord long, name string, text string, labels array<string>, rank double"
+    )
+    assert anchor_set(items, "nobody").count() == 0
+    got = [r.item_id for r in anchor_set(items, "n0").orderBy("deck_pos").collect()]
+    assert got == [0, 1, 2]
