@@ -9,11 +9,14 @@ the bound must agree on a part among the first D+1 of either document in any ord
 documents share (pigeonhole); the order takes parts without elements, and parts made of
 shingles that a sample shows to be common, last.  The order decides the cost, not the result.
 
-Documents that share a part meet in stars, never in all pairs: each is compared with the
-least document of the part, first inside a task's batch, then between tasks.  A narrow
-sketch (one bit per element, at least two bits an element) rejects most pairs; the rest are
-verified on their whole sets.  Parts whose documents are then still in different components
-are joined once more, between those components only, so no link is lost.
+Documents that share a part meet in stars first: each is compared with the least document of
+the part, inside a task's batch and then between tasks, and with the document that has most
+links so far.  Narrow sketches (two bits an element, and 256 bits for a first look) reject most
+pairs; the rest are verified on their whole sets.  Parts whose documents are then still in
+different components are joined between those components, the first look being part of the
+join, so that only close pairs leave it.  Parts of many documents are not joined yet: their
+documents take part in another round in which these parts come last in the order, and only in the
+last round is every part joined.  So no link between different components is lost.
 
 Null, empty or blank text: an empty set, linked with nothing.  Null ids: the row is
 returned with a null component.  Rows that repeat an id are one document.  Equal sets are
@@ -42,8 +45,18 @@ SAMPLE_DOCS = 10_000
 COMMON_SHINGLES = 100_000
 COMMON_FROM = 3
 LEAST_PARTS_LOG = 6
+# Rounds at most, and documents from which a part waits for the next round.
+ROUNDS = 2
+WAITS_FROM = 24
+# Parts that wait are remembered as places of a bit map of this size; parts that meet there by chance wait too.
+PLACES = 1 << 22
+LOOK = ("look_0", "look_1", "look_2", "look_3")
 
-PROFILE = "doc_id long, n_shingles long, fp_a long, fp_b long, sketch array<long>, sampled array<long>"
+PROFILE = (
+    "doc_id long, n_shingles long, fp_a long, fp_b long, sketch array<long>, "
+    + ", ".join(f"{c} long" for c in LOOK)
+    + ", sampled array<long>"
+)
 
 
 def most_apart(a, b, percent: int = PERCENT):
@@ -73,6 +86,13 @@ def _sketches(doc: np.ndarray, values: np.ndarray, sizes: np.ndarray) -> tuple[n
     return np.packbits(odd, bitorder="little").view(np.int64), before // 64
 
 
+def _looks(doc: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
+    """Parity sketches of 256 bits, one row a document."""
+    place = doc * 256 + (values & W.U64(255)).astype(np.int64)
+    odd = (np.bincount(place, minlength=256 * n) & 1).astype(np.uint8)
+    return np.packbits(odd, bitorder="little").view(np.int64).reshape(n, 4)
+
+
 def profile(docs: DataFrame, width: int, one_in: int) -> DataFrame:
     """One row a document: set size, 128-bit fingerprint of the set, sketch; a sample's sets."""
 
@@ -87,6 +107,7 @@ def profile(docs: DataFrame, width: int, one_in: int) -> DataFrame:
                     fp[0, doc[at]] = np.add.reduceat(values, at)
                     fp[1, doc[at]] = np.bitwise_xor.reduceat(W.mix(values ^ W.U64(W.BASE)), at)
                 sketch, before = _sketches(doc, values, sizes)
+                look = _looks(doc, values, len(texts))
                 taken = (W.mix(fp[0] ^ fp[1]) % W.U64(one_in)) == 0
                 kept = values[taken[doc]]
                 ends = np.r_[0, np.cumsum(np.where(taken, sizes, 0))]
@@ -97,9 +118,10 @@ def profile(docs: DataFrame, width: int, one_in: int) -> DataFrame:
                         W.signed(fp[0]),
                         W.signed(fp[1]),
                         pa.ListArray.from_arrays(pa.array(before.astype(np.int32)), pa.array(sketch)),
+                        *(pa.array(np.ascontiguousarray(look[:, k])) for k in range(4)),
                         pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), W.signed(kept)),
                     ],
-                    names=["doc_id", "n_shingles", "fp_a", "fp_b", "sketch", "sampled"],
+                    names=["doc_id", "n_shingles", "fp_a", "fp_b", "sketch", *LOOK, "sampled"],
                 )
 
     return docs.mapInArrow(run, PROFILE)
@@ -122,7 +144,7 @@ def shingle_sets(docs: DataFrame, width: int) -> DataFrame:
 
 
 def _part_names(
-    doc: np.ndarray, values: np.ndarray, sizes: np.ndarray, common: np.ndarray, percent: int
+    doc: np.ndarray, values: np.ndarray, sizes: np.ndarray, common: np.ndarray, waiting: np.ndarray, percent: int
 ) -> tuple[np.ndarray, np.ndarray]:
     """``(document, part name)``: the parts by which each document is looked up.
 
@@ -155,8 +177,10 @@ def _part_names(
         d, part = d[at], part[at]
         band_part = W.mix(part + (levels[d].astype(W.U64) << W.U64(56)) + W.U64(W.BASE))
         name = W.mix(np.bitwise_xor.reduceat(v, at) ^ band_part)
-        only_common = np.logical_and.reduceat(c, at)
-        order = W.sort_within(d, only_common, name)
+        late = np.logical_and.reduceat(c, at)
+        if len(waiting):
+            late |= waiting[(name & W.U64(PLACES - 1)).astype(np.int64)]
+        order = W.sort_within(d, late, name)
         d, name = d[order], name[order]
         first = _starts(d)
         rank = np.arange(len(d)) - np.repeat(first, np.diff(np.r_[first, len(d)]))
@@ -178,9 +202,9 @@ def _range(doc: np.ndarray, i: int) -> slice:
     return slice(int(np.searchsorted(doc, i)), int(np.searchsorted(doc, i, side="right")))
 
 
-def part_stars(docs: DataFrame, common: np.ndarray, width: int, percent: int) -> DataFrame:
+def part_stars(docs: DataFrame, common: np.ndarray, waiting: np.ndarray, width: int, percent: int) -> DataFrame:
     """``(part, doc_id, rep)``: documents and the least document that shares the part."""
-    shared = docs.sparkSession.sparkContext.broadcast(common)
+    shared = docs.sparkSession.sparkContext.broadcast((common, waiting))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -188,7 +212,7 @@ def part_stars(docs: DataFrame, common: np.ndarray, width: int, percent: int) ->
             for rows, texts in W.slices(batch, "text"):
                 doc, values = _sets(texts, width)
                 sizes = np.bincount(doc, minlength=len(texts))
-                doc, name = _part_names(doc, values, sizes, shared.value, percent)
+                doc, name = _part_names(doc, values, sizes, *shared.value, percent)
                 parts.append(name.view(np.int64))
                 ids.append(rows.column(0).to_numpy(zero_copy_only=False).astype(np.int64)[doc])
             if not parts:
@@ -270,59 +294,92 @@ def near_duplicates(documents: DataFrame, width: int = WIDTH, percent: int = PER
     classes = full.groupBy("n_shingles", "fp_a", "fp_b").agg(F.min("doc_id").alias("leader"))
     member = cut(full.join(classes, ["n_shingles", "fp_a", "fp_b"]).select("doc_id", "leader", "n_shingles"))
     leaders = full.join(classes.select(F.col("leader").alias("doc_id")).distinct(), "doc_id", "left_semi").select(
-        F.col("doc_id").alias("leader"), F.col("n_shingles").alias("n"), "sketch"
+        F.col("doc_id").alias("leader"), F.col("n_shingles").alias("n"), "sketch", *LOOK
     )
     renamed = member.where("doc_id <> leader").select("doc_id", "leader")
-
-    common = (
-        known.select(F.explode("sampled").alias("shingle"))
-        .groupBy("shingle")
-        .count()
-        .where(F.col("count") >= COMMON_FROM)
-        .orderBy(F.desc("count"), "shingle")
-        .limit(COMMON_SHINGLES)
-    )
-    common = np.sort(np.array([r[0] for r in common.collect()], np.int64).view(W.U64))
-    stars = cut(part_stars(docs, common, width, percent))
+    common = _common(known)
 
     def led(df: DataFrame, column: str, name: str) -> DataFrame:
         """Replace copies by the class's leader."""
         to = renamed.select(F.col("doc_id").alias(column), F.col("leader").alias("_leader"))
         return df.join(to, column, "left").withColumn(name, F.coalesce("_leader", column)).drop("_leader")
 
-    met = led(led(stars.select("doc_id", "rep").distinct(), "doc_id", "x"), "rep", "y").where("x <> y")
-    tried = cut(_close(met.select(*_ordered("x", "y")).distinct(), leaders, percent))
-    links = cut(_links(tried, docs, width, percent))
+    tried, links = None, None
+
+    def test(pairs: DataFrame) -> None:
+        """Verify the pairs not yet tried, and add their links."""
+        nonlocal tried, links
+        pairs = pairs.distinct()
+        close = cut(_close(pairs if tried is None else pairs.join(tried.select("a", "b"), ["a", "b"], "left_anti"), leaders, percent))
+        new = cut(_links(close, docs, width, percent))
+        tried = close if tried is None else tried.union(close)
+        links = new if links is None else links.union(new)
+
+    waiting, taking_part = np.zeros(0, bool), docs
+    for turn in range(1, ROUNDS + 1):
+        stars = cut(part_stars(taking_part, common, waiting, width, percent))
+        met = led(led(stars.select("doc_id", "rep").distinct(), "doc_id", "x"), "rep", "y").where("x <> y")
+        test(met.select(*_ordered("x", "y")))
+        seats = led(stars.select("part", "doc_id").union(stars.select("part", "rep")).distinct(), "doc_id", "leader")
+        seats = cut(_apart(seats.select("part", "leader").distinct(), _components(links)))
+        if seats.isEmpty():
+            break
+        # The document with most links stands for each part.
+        degree = links.select(F.col("a").alias("leader")).union(links.select("b")).groupBy("leader").agg(F.count("*").alias("degree"))
+        hubs = seats.join(degree, "leader").groupBy("part").agg(F.max(F.struct("degree", "leader"))["leader"].alias("hub"))
+        test(seats.join(hubs, "part").where("leader <> hub").select(*_ordered("leader", "hub")))
+        found = cut(_components(links))
+        seats = cut(_apart(seats.select("part", "leader"), found))
+        size = seats.groupBy("part").agg(F.count("*").alias("size"))
+        late = size.where(F.col("size") >= WAITS_FROM).select("part") if turn < ROUNDS else size.where("false").select("part")
+        late = cut(late)
+        test(_across(seats.join(late, "part", "left_anti"), leaders, percent))
+        if late.isEmpty():
+            break
+        places = late.select(F.col("part").bitwiseAND(F.lit(PLACES - 1)).alias("place")).distinct()
+        waiting = waiting if len(waiting) else np.zeros(PLACES, bool)
+        waiting[[r[0] for r in places.collect()]] = True  # at most PLACES numbers
+        ids = cut(seats.join(late, "part", "left_semi").select(F.col("leader").alias("doc_id")).distinct())
+        taking_part = docs.join(small(ids, ids.count()), "doc_id", "left_semi")
     found = cut(_components(links))
 
-    # Parts whose documents are still apart: join them across components.
-    seats = led(stars.select("part", "doc_id").union(stars.select("part", "rep")).distinct(), "doc_id", "leader")
+    return (
+        known.select("doc_id", "n_shingles")
+        .join(member.select("doc_id", "leader").distinct(), "doc_id", "left")
+        .join(found, "leader", "left")
+        .select("doc_id", "n_shingles", F.coalesce("component", "leader", "doc_id").alias("component_id"))
+    )
+
+
+def _common(known: DataFrame) -> np.ndarray:
+    """Shingles that several documents of the sample hold, in order."""
+    counted = known.select(F.explode("sampled").alias("shingle")).groupBy("shingle").count()
+    most = counted.where(F.col("count") >= COMMON_FROM).orderBy(F.desc("count"), "shingle").limit(COMMON_SHINGLES)
+    return np.sort(np.array([r[0] for r in most.collect()], np.int64).view(W.U64))
+
+
+def _apart(seats: DataFrame, found: DataFrame) -> DataFrame:
+    """``(part, leader, component)`` of the parts whose documents are in several components."""
     seats = seats.join(found, "leader", "left").select("part", "leader", F.coalesce("component", "leader").alias("component"))
-    seats = seats.join(leaders.select("leader", "n"), "leader")
-    apart = seats.groupBy("part").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
-    seats = cut(seats.join(apart.select("part"), "part", "left_semi").distinct())
-    x, y = seats.alias("x"), seats.alias("y")
-    across = (
-        x.join(
-            y,
+    apart = seats.groupBy("part").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
+    return seats.join(apart.select("part"), "part", "left_semi")
+
+
+def _across(seats: DataFrame, leaders: DataFrame, percent: int) -> DataFrame:
+    """Pairs that share a part, are in different components, and look close enough."""
+    rows = seats.join(leaders.select("leader", "n", *LOOK), "leader")
+    apart = sum((F.bit_count(F.col(f"x.{c}").bitwiseXOR(F.col(f"y.{c}"))) for c in LOOK), F.lit(0))
+    return (
+        rows.alias("x")
+        .join(
+            rows.alias("y"),
             (F.col("x.part") == F.col("y.part"))
             & (F.col("x.leader") < F.col("y.leader"))
             & (F.col("x.component") != F.col("y.component"))
-            & (100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n")),
+            & (100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n"))
+            & (apart * (100 + percent) <= (100 - percent) * (F.col("x.n") + F.col("y.n"))),
         )
         .select(F.col("x.leader").alias("a"), F.col("y.leader").alias("b"))
-        .distinct()
-    )
-    more = cut(_close(across.join(tried.select("a", "b"), ["a", "b"], "left_anti"), leaders, percent))
-    more = cut(_links(more, docs, width, percent))
-    if not more.isEmpty():
-        found = cut(_components(links.union(more)))
-
-    return (
-        known.select("doc_id", "n_shingles")
-        .join(member.select("doc_id", "leader").distinct(), "doc_id", "left")
-        .join(found, "leader", "left")
-        .select("doc_id", "n_shingles", F.coalesce("component", "leader", "doc_id").alias("component_id"))
     )
 
 
