@@ -3,6 +3,7 @@
 ``write_tokens`` encodes whole texts with a public tokenizer, appends an end id to each and
 writes blocks in ascending order of doc_id (null first, then by the text's hash):
 
+* ``path/plain``: the ids as they are, until they are counted; a reader needs only the others;
 * ``path/table``: ``id, count`` of every id in the corpus; scaled counts are the shared table;
 * ``path/blocks``: one row a block of whole documents: place, documents, their lengths, CRC-32 of the
   payload and of the ids, and the payload.
@@ -18,6 +19,10 @@ table gives no blocks.  Extra columns are ignored.  A text longer than a block i
 
 from __future__ import annotations
 
+import itertools
+import json
+import os
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -38,8 +43,8 @@ LANES = 1024
 STEPS = 128
 BLOCK_TOKENS = 1 << 18
 END_ID = 1
-# Words whose ids a task remembers; beyond it forgets all and goes on.
-REMEMBERED = 500_000
+# Words whose ids a worker remembers; beyond it forgets all and goes on.
+REMEMBERED = 1_500_000
 MAGIC = b"KRANS1"
 
 
@@ -131,106 +136,143 @@ def decode_block(payload: bytes, table: Table, segment: int | None = None) -> np
 
 # --- the tokenizer -----------------------------------------------------------
 
+# Words that may be taken apart at changes between letters, single digits and other characters.
+PLAIN = re.compile(rb"(?:[\x21-\x26\x28-\x7e]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
+PIECES = re.compile(rb"[a-z\x80-\xff]+|[0-9]|[^a-z0-9\x80-\xff]+")
+# Pieces encoded in one call.
+CALL = 256
 
-class WordEncoder:
-    """Ids of texts, word by word: the tokenizer never joins across ASCII white space."""
+
+class TextEncoder:
+    """Ids of texts by a public tokenizer.
+
+    A tokenizer that marks ends of words and drops white space never joins across it, so
+    each different word is encoded once and remembered (by a 64-bit hash); others get whole texts.
+    """
 
     def __init__(self, path: str, end_id: int = END_ID):
         self.tokenizer = Tokenizer.from_file(path)
         self.end_id = end_id
+        suffix = json.loads(self.tokenizer.to_str())["model"].get("end_of_word_suffix")
+        self.by_word = bool(suffix)
+        self.vocabulary = self.tokenizer.get_vocab_size(with_added_tokens=True)
+        self.ends_word = np.zeros(self.vocabulary, bool)
+        if suffix:
+            self.ends_word[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith(suffix)]] = True
         self.forget()
 
     def forget(self) -> None:
-        self.index = {b"\n": 0}  # no word; stands for the end of a text
-        self.starts, self.lengths = np.zeros(1, np.int64), np.ones(1, np.int64)
-        self.pool = np.array([self.end_id], np.uint32)
+        self.known = np.zeros(0, np.uint64)
+        self.starts, self.lengths, self.pool = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
+
+    def _whole(self, texts: list[bytes]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)]
+
+    def _pieces(self, pieces: list[bytes]) -> list[list[int]]:
+        """Ids of pieces without white space, many in a call; the marks of word ends part them."""
+        out: list[list[int]] = []
+        for k in range(0, len(pieces), CALL):
+            own = pieces[k : k + CALL]
+            ids = self._whole([b" ".join(own)])[0]
+            ends = np.flatnonzero(self.ends_word[ids]) + 1
+            if len(ends) != len(own) or ends[-1] != len(ids):
+                out += self._whole(own)
+                continue
+            low = 0
+            for high in ends.tolist():
+                out.append(ids[low:high])
+                low = high
+        return out
+
+    def _words(self, words: list[bytes]) -> list[list[int]]:
+        parts = [PIECES.findall(w.lower()) if PLAIN.fullmatch(w) and b"<|" not in w else None for w in words]
+        pieces = list({p for own in parts if own for p in own})
+        ids = dict(zip(pieces, self._pieces(pieces), strict=True))
+        odd = iter(self._whole([w for w, own in zip(words, parts, strict=True) if own is None]))
+        return [next(odd) if own is None else ids[own[0]] if len(own) == 1 else [i for p in own for i in ids[p]] for own in parts]
+
+    def _learn(self, texts: W.Texts, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray) -> None:
+        data = texts.data.tobytes()
+        ids = self._words([data[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)])
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+        flat = np.fromiter(itertools.chain.from_iterable(ids), np.uint32, int(sizes.sum()))
+        at = np.searchsorted(self.known, hashes)
+        self.known = np.insert(self.known, at, hashes)
+        self.starts = np.insert(self.starts, at, len(self.pool) + np.cumsum(sizes) - sizes)
+        self.lengths = np.insert(self.lengths, at, sizes)
+        self.pool = np.r_[self.pool, flat]
 
     def encode(self, texts: W.Texts) -> tuple[np.ndarray, np.ndarray]:
-        """All ids, and the number of ids of each text."""
-        data, words, counts = texts.data.tobytes(), [], []
-        for a, b in zip(texts.offsets[:-1].tolist(), texts.offsets[1:].tolist(), strict=True):
-            own = data[a:b].split()
-            words += own
-            words.append(b"\n")
-            counts.append(len(own) + 1)
-        if len(self.index) > REMEMBERED:
-            self.forget()
-        new = list(set(words).difference(self.index))
-        if new:
-            got = self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
-            ids = [e.ids for e in got]
-            sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-            flat = np.fromiter((i for e in ids for i in e), np.uint32, int(sizes.sum()))
-            self.starts = np.r_[self.starts, len(self.pool) + np.cumsum(sizes) - sizes]
-            self.lengths = np.r_[self.lengths, sizes]
-            self.pool = np.r_[self.pool, flat]
-            self.index.update(zip(new, range(len(self.index), len(self.index) + len(new)), strict=True))
-        row = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
-        sizes = self.lengths[row]
-        before = np.r_[0, np.cumsum(sizes)]
-        ids = self.pool[np.arange(before[-1]) + np.repeat(self.starts[row] - before[:-1], sizes)]
-        ends = np.r_[0, np.cumsum(counts)].astype(np.int64)
-        return ids, np.diff(before[ends])
+        """All ids, each text's followed by the end id, and the number of ids of each text."""
+        n = len(texts)
+        if not self.by_word:
+            data = texts.data.tobytes()
+            ids = self._whole([data[a:b] for a, b in itertools.pairwise(texts.offsets.tolist())])
+            sizes = np.fromiter(map(len, ids), np.int64, n)
+            words = np.fromiter(itertools.chain.from_iterable(ids), np.uint32, int(sizes.sum()))
+        else:
+            starts, ends, bounds = W.word_spans(texts)
+            hashes, first, which = np.unique(W.span_hashes(texts.data, starts, ends), return_index=True, return_inverse=True)
+            if len(self.known) + len(hashes) > REMEMBERED:
+                self.forget()
+            new = ~np.isin(hashes, self.known, assume_unique=True) if len(self.known) else np.ones(len(hashes), bool)
+            if new.any():
+                self._learn(texts, starts[first[new]], ends[first[new]], hashes[new])
+            row = np.searchsorted(self.known, hashes)
+            sizes = self.lengths[row][which]
+            before = np.r_[0, np.cumsum(sizes)]
+            words = self.pool[np.repeat((self.starts[row][which] - before[:-1]), sizes) + np.arange(before[-1])]
+            sizes = np.diff(before[bounds])
+        lengths = sizes + 1
+        out = np.empty(len(words) + n, np.uint32)
+        last = np.zeros(len(out), bool)
+        last[np.cumsum(lengths) - 1] = True
+        out[last] = self.end_id
+        out[~last] = words
+        return out, lengths
+
+
+_encoders: dict[tuple[str, int], TextEncoder] = {}
+
+
+def encoder(path: str, end_id: int) -> TextEncoder:
+    """This worker's encoder; it remembers words from task to task."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+    if (path, end_id) not in _encoders:
+        _encoders[path, end_id] = TextEncoder(path, end_id)
+    return _encoders[path, end_id]
 
 
 # --- the job -----------------------------------------------------------------
 
-
-def _counts(docs: DataFrame, path: str, end_id: int) -> DataFrame:
-    """``(id, count)`` over the corpus; each task sends one row an id."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(path, end_id)
-        total = np.zeros(0, np.int64)
-        for batch in batches:
-            for _, texts in W.slices(batch, "text"):
-                got = np.bincount(encoder.encode(texts)[0], minlength=len(total))
-                got[: len(total)] += total
-                total = got
-        ids = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(total[ids])], names=["id", "count"])
-
-    return docs.select("text").mapInArrow(run, "id long, count long").groupBy("id").agg(F.sum("count").alias("count"))
+PLACE = "part int, block int, doc_ids array<long>, lengths array<long>, n_tokens long, ids_crc32 long"
+BLOCK = PLACE + ", payload_crc32 long, payload binary"
+_PLACE_FIELDS = [
+    ("part", pa.int32()), ("block", pa.int32()), ("doc_ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int64())),
+    ("n_tokens", pa.int64()), ("ids_crc32", pa.int64()),
+]
 
 
-BLOCK = (
-    "part int, block int, doc_ids array<long>, lengths array<long>, n_tokens long, ids_crc32 long, "
-    "payload_crc32 long, payload binary"
-)
-
-
-def _table(counts: DataFrame) -> Table:
-    """The scaled table; it has a row for each id of the vocabulary at most."""
-    rows = counts.collect()
-    out = np.zeros(max((r["id"] for r in rows), default=0) + 1, np.int64)
-    for r in rows:
-        out[r["id"]] = r["count"]
-    return Table(out)
-
-
-def write_tokens(documents: DataFrame, path: str, tokenizer_path: str, end_id: int = END_ID, parts: int | None = None) -> None:
-    spark = documents.sparkSession
-    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    _counts(docs, tokenizer_path, end_id).coalesce(1).write.parquet(f"{path}/table")
-    table = spark.sparkContext.broadcast(_table(spark.read.parquet(f"{path}/table")))
-    parts = parts or max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
+def _blocks(docs: DataFrame, tokenizer_path: str, end_id: int, parts: int) -> DataFrame:
+    """Blocks in order, with plain ids."""
+    schema = pa.schema([*_PLACE_FIELDS, ("width", pa.int32()), ("ids", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part, number = WordEncoder(tokenizer_path, end_id), TaskContext.get().partitionId(), 0
+        own, part, number = encoder(tokenizer_path, end_id), TaskContext.get().partitionId(), 0
+        width = 2 if own.vocabulary <= 1 << 16 and end_id < 1 << 16 else 4
         names, sizes, held, n = [], [], [], 0
 
         def block() -> pa.RecordBatch:
             ids = np.concatenate(held)
-            payload = encode_block(ids, table.value)
             row = {
                 "part": part, "block": number, "doc_ids": list(names), "lengths": list(sizes), "n_tokens": len(ids),
-                "ids_crc32": zlib.crc32(ids.astype("<u4").tobytes()), "payload_crc32": zlib.crc32(payload), "payload": payload,
+                "ids_crc32": zlib.crc32(ids.astype("<u4").tobytes()), "width": width, "ids": ids.astype(f"<u{width}").tobytes(),
             }
-            return pa.RecordBatch.from_pylist([row], schema=SCHEMA)
+            return pa.RecordBatch.from_pylist([row], schema=schema)
 
         for batch in batches:
             for rows, texts in W.slices(batch, "text"):
-                ids, lengths = encoder.encode(texts)
+                ids, lengths = own.encode(texts)
                 at = 0
                 for name, size in zip(rows.column(0).to_pylist(), lengths.tolist(), strict=True):
                     names.append(name)
@@ -248,15 +290,56 @@ def write_tokens(documents: DataFrame, path: str, tokenizer_path: str, end_id: i
     ordered = docs.repartitionByRange(parts, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(
         F.col("doc_id").asc_nulls_first(), F.xxhash64("text")
     )
-    ordered.mapInArrow(run, BLOCK).write.parquet(f"{path}/blocks")
+    return ordered.mapInArrow(run, PLACE + ", width int, ids binary")
 
 
-SCHEMA = pa.schema(
-    [
-        ("part", pa.int32()), ("block", pa.int32()), ("doc_ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int64())),
-        ("n_tokens", pa.int64()), ("ids_crc32", pa.int64()), ("payload_crc32", pa.int64()), ("payload", pa.binary()),
-    ]
-)
+def _counts(blocks: DataFrame) -> DataFrame:
+    """``(id, count)`` over the corpus; each task sends one row an id."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(0, np.int64)
+        for batch in batches:
+            for width, ids in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                got = np.bincount(np.frombuffer(ids.as_buffer(), f"<u{width}"), minlength=len(total))
+                got[: len(total)] += total
+                total = got
+        ids = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(total[ids])], names=["id", "count"])
+
+    return blocks.select("width", "ids").mapInArrow(run, "id long, count long").groupBy("id").agg(F.sum("count").alias("count"))
+
+
+def _table(counts: DataFrame) -> Table:
+    """The scaled table; it has a row for each id of the vocabulary at most."""
+    rows = counts.collect()
+    out = np.zeros(max((r["id"] for r in rows), default=0) + 1, np.int64)
+    for r in rows:
+        out[r["id"]] = r["count"]
+    return Table(out)
+
+
+def write_tokens(documents: DataFrame, path: str, tokenizer_path: str, end_id: int = END_ID, parts: int | None = None) -> None:
+    spark = documents.sparkSession
+    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    plain = f"{path}/plain"
+    _blocks(docs, tokenizer_path, end_id, parts or int(spark.conf.get("spark.sql.shuffle.partitions"))).write.option(
+        "compression", "zstd"
+    ).parquet(plain)
+    blocks = spark.read.schema(PLACE + ", width int, ids binary").parquet(plain)
+    _counts(blocks).coalesce(1).write.parquet(f"{path}/table")
+    table = spark.sparkContext.broadcast(_table(spark.read.schema("id long, count long").parquet(f"{path}/table")))
+    schema = pa.schema([*_PLACE_FIELDS, ("payload_crc32", pa.int64()), ("payload", pa.binary())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(len(batch)):
+                width, ids = batch.column("width")[row].as_py(), batch.column("ids")[row].as_buffer()
+                payload = encode_block(np.frombuffer(ids, f"<u{width}"), table.value)
+                yield pa.RecordBatch.from_arrays(
+                    [*(batch.column(k).slice(row, 1) for k in range(6)), pa.array([zlib.crc32(payload)]), pa.array([payload])], schema=schema
+                )
+
+    blocks.mapInArrow(run, BLOCK).write.parquet(f"{path}/blocks")
 
 
 def read_tokens(spark: SparkSession, path: str, with_ids: bool = True) -> DataFrame:
