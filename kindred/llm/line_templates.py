@@ -102,16 +102,16 @@ def without_recurring_lines(documents: DataFrame, **options: int) -> DataFrame:
     """``documents`` with ``text`` less the recurring lines, and ``_lines`` and ``_dropped`` counts."""
     drop = cut(recurring_lines(documents, **options).select("line_id").distinct())
     n = drop.count()
-    rows = documents.withColumn("_split", F.split("text", "\n"))
-    lines = documents.select(F.xxhash64(F.coalesce(F.col("doc_id").cast("long"), F.lit(0)), "text").alias("_key"), F.explode(F.array_distinct(F.split("text", "\n"))).alias("_line"))
+    key = F.xxhash64(F.coalesce(F.col("doc_id").cast("long"), F.lit(0)), "text").alias("_key")
+    lines = documents.select(key, F.explode(F.array_distinct(F.split("text", "\n"))).alias("_line"))
     gone = (
         lines.withColumn("line_id", F.xxhash64("_line"))
         .join(build_side(drop, n), "line_id", "left_semi")
         .groupBy("_key")
         .agg(F.collect_set("line_id").alias("_gone"))
     )
-    gone = cut(gone)
-    rows = rows.withColumn("_key", F.xxhash64(F.coalesce(F.col("doc_id").cast("long"), F.lit(0)), "text")).join(build_side(gone, gone.count()), "_key", "left")
+    # As many documents may hold recurring lines as there are, so this side is never broadcast.
+    rows = documents.select("*", key).join(gone.hint("merge"), "_key", "left").withColumn("_split", F.split("text", "\n"))
     kept = F.when(F.col("_gone").isNull(), F.col("_split")).otherwise(
         F.filter("_split", lambda line: ~F.array_contains("_gone", F.xxhash64(line)))
     )
