@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kindred.llm import words as W
+from kindred.sources.staging import cut
 
 SAMPLE_ROWS = 16_000
 TERMS = 4096
@@ -79,8 +80,8 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(y, -40, 40)))
 
 
-def sample(documents: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> list[tuple[int, np.ndarray]]:
-    """Label and distinct term hashes of the sampled rows."""
+def sample(documents: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
+    """``(_id, toxic, least, terms)`` of the sampled rows; ``least``: hash that near copies share."""
     known = (
         labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out("doc_id"))
         .groupBy(F.col("doc_id").cast("long").alias("_id"))
@@ -95,47 +96,48 @@ def sample(documents: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) ->
             for part, texts in W.slices(batch, "text"):
                 doc, values = W.distinct_within(*term_hashes(texts))
                 ends = np.searchsorted(doc, np.arange(len(texts) + 1))
-                sets = [values[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:], strict=True)]
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(sets, pa.binary())], names=["_id", "toxic", "terms"])
-
-    got = texts.select("_id", "text", "_toxic").mapInArrow(run, "_id long, toxic int, terms binary").orderBy("_id").limit(rows)
-    return [(int(r["toxic"]), np.frombuffer(r["terms"], W.U64)) for r in got.collect()]
-
-
-def _once(rows: list[tuple[int, np.ndarray]]) -> list[tuple[int, np.ndarray]]:
-    """Rows that share a least hash, as near copies do, count once."""
-    seen, out = set(), []
-    for label, terms in rows:
-        key = (label, int(W.mix(terms ^ W.U64(W.BASE)).min())) if len(terms) else None
-        if key is None or key not in seen:
-            seen.add(key)
-            out.append((label, terms))
-    return out
-
-
-def fit(rows: list[tuple[int, np.ndarray]], most: int = TERMS, rank: int = RANK, rounds: int = ROUNDS) -> Model:
-    rows = _once(rows)
+                least = np.zeros(len(texts), W.U64)
+                some = np.flatnonzero(np.diff(ends))
+                if len(some):
+                    least[some] = np.minimum.reduceat(W.mix(values ^ W.U64(W.BASE)), ends[some])
+                terms = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), W.signed(values))
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), W.signed(least), terms], names=["_id", "toxic", "least", "terms"])
+
+    return texts.select("_id", "text", "_toxic").mapInArrow(run, "_id long, toxic int, least long, terms array<long>")
+
+
+def known_terms(rows: DataFrame, most: int = TERMS) -> tuple[np.ndarray, list[tuple[int, np.ndarray]]]:
+    """The terms that stand out, in order, and each sampled row's label and places among them.
+
+    ``rows`` is the bounded sample; its terms are counted by tasks, and only what is known of it is collected.
+    """
+    once = cut(rows.groupBy("toxic", "least").agg(F.min_by("terms", "_id").alias("terms"), F.min("_id").alias("_id")))
+    n, positive = once.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
+    labels = once.select("_id", "toxic").orderBy("_id").collect()
+    empty = np.zeros(0, np.int64)
+    if positive in (0, n):
+        return np.zeros(0, W.U64), [(r["toxic"], empty) for r in labels]
+    rate = positive / n
+    seen, toxic = F.count("*"), F.sum("toxic")
+    deviation = F.abs(toxic - seen * rate) / F.sqrt(seen * (rate * (1 - rate)))
+    counted = once.select("toxic", F.explode("terms").alias("term")).groupBy("term").agg(deviation.alias("deviation"), seen.alias("seen"))
+    kept = counted.where((F.col("deviation") >= STANDS_OUT) & (F.col("seen") >= 4)).orderBy(F.desc("deviation"), "term").limit(most)
+    kept = cut(kept.select("term"))
+    terms = np.sort(np.array([r[0] for r in kept.collect()], np.int64).view(W.U64))
+    held = once.select("_id", F.explode("terms").alias("term")).join(F.broadcast(kept), "term").groupBy("_id").agg(F.collect_list("term").alias("terms"))
+    held = {r["_id"]: np.array(r["terms"], np.int64).view(W.U64) for r in held.collect()}
+    return terms, [(r["toxic"], np.sort(np.searchsorted(terms, held[r["_id"]])) if r["_id"] in held else empty) for r in labels]
+
+
+def fit(terms: np.ndarray, rows: list[tuple[int, np.ndarray]], rank: int = RANK, rounds: int = ROUNDS) -> Model:
     n, positive = len(rows), sum(label for label, _ in rows)
     base = float(np.log((positive + 0.5) / (n - positive + 0.5)))
-    empty = Model(np.zeros(0, W.U64), base, np.zeros(0), np.zeros((0, rank)))
-    if positive == 0 or positive == n:
-        return empty
+    m = len(terms)
+    if not m:
+        return Model(np.zeros(0, W.U64), base, np.zeros(0), np.zeros((0, rank)))
     label = np.array([x for x, _ in rows], float)
     doc = np.repeat(np.arange(n), [len(t) for _, t in rows])
-    terms, column = np.unique(np.concatenate([t for _, t in rows]), return_inverse=True)
-    seen = np.bincount(column, minlength=len(terms))
-    toxic = np.bincount(column, label[doc], len(terms))
-    rate = positive / n
-    deviation = (toxic - seen * rate) / np.sqrt(seen * rate * (1 - rate))
-    keep = np.flatnonzero((np.abs(deviation) >= STANDS_OUT) & (seen >= 4))
-    keep = np.sort(keep[np.lexsort((terms[keep], -np.abs(deviation[keep])))][:most])
-    if not len(keep):
-        return empty
-    place = np.full(len(terms), -1)
-    place[keep] = np.arange(len(keep))
-    use = place[column] >= 0
-    doc, at = doc[use], place[column[use]]
-    m = len(keep)
+    at = np.concatenate([t for _, t in rows])
     w0, w = base, np.zeros(m)
     v = 0.01 * np.random.default_rng(7).standard_normal((m, rank))
     state = [[np.zeros_like(p), np.zeros_like(p)] for p in (np.zeros(1), w, v)]
@@ -163,7 +165,7 @@ def fit(rows: list[tuple[int, np.ndarray]], most: int = TERMS, rank: int = RANK,
         w0 -= float(moves[0][0])
         w -= moves[1]
         v -= moves[2]
-    return Model(terms[keep], w0, w, v)
+    return Model(terms, w0, w, v)
 
 
 def scored(documents: DataFrame, model: Model, column: str = "_toxicity") -> DataFrame:
@@ -182,4 +184,4 @@ def scored(documents: DataFrame, model: Model, column: str = "_toxicity") -> Dat
 
 def toxicity(documents: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
     """Learn from the labels, score every document."""
-    return scored(documents, fit(sample(documents, labels, rows)))
+    return scored(documents, fit(*known_terms(sample(documents, labels, rows))))
