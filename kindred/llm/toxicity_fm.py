@@ -36,7 +36,7 @@ STEMS = (4, 5, 6)
 FOLDS = 5
 # Least deviation, in standard errors, of a term's share of toxic rows.
 STANDS_OUT = 4.5
-ROUNDS = 250
+ROUNDS = 400
 
 BETWEEN = np.ones(256, bool)
 BETWEEN[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
@@ -81,7 +81,7 @@ class Model:
 
 
 def sample(documents: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
-    """``(_id, toxic, least, terms)`` of the sampled rows; ``least``: hash that near copies share."""
+    """``(_id, toxic, least, terms)`` of the sampled rows; ``least``: least shingle hash, which near copies mostly share."""
     known = (
         labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out("doc_id"))
         .groupBy(F.col("doc_id").cast("long").alias("_id"))
@@ -97,9 +97,9 @@ def sample(documents: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) ->
                 doc, values = W.distinct_within(*term_hashes(texts))
                 ends = np.searchsorted(doc, np.arange(len(texts) + 1))
                 least = np.zeros(len(texts), W.U64)
-                some = np.flatnonzero(np.diff(ends))
-                if len(some):
-                    least[some] = np.minimum.reduceat(W.mix(values ^ W.U64(W.BASE)), ends[some])
+                owner, shingle = W.distinct_within(*W.shingle_hashes(*W.word_hashes(texts)))
+                some, at = np.unique(owner, return_index=True)
+                least[some] = shingle[at]
                 terms = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), W.signed(values))
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), W.signed(least), terms], names=["_id", "toxic", "least", "terms"])
 
@@ -139,7 +139,7 @@ def fit(terms: np.ndarray, rows: list[tuple[int, np.ndarray]], rank: int = RANK,
     doc = np.repeat(np.arange(n), [len(t) for _, t in rows])
     at = np.concatenate([t for _, t in rows])
     w0, w = base, np.zeros(m)
-    v = 0.01 * np.random.default_rng(7).standard_normal((m, rank))
+    v = 0.1 * np.random.default_rng(7).standard_normal((m, rank))
     state = [[np.zeros_like(p), np.zeros_like(p)] for p in (np.zeros(1), w, v)]
     by_term, by_doc = np.argsort(at, kind="stable"), np.argsort(doc, kind="stable")
     term_at = np.flatnonzero(np.r_[True, np.diff(at[by_term]) > 0])
