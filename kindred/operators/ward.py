@@ -15,8 +15,8 @@ from kindred.operators.features import kmeans
 from kindred.operators.pairwise import by_blocks, distances
 from kindred.sources.staging import cut
 
-# Beyond this many distinct points, merge K-Means groups of them instead.
-EXACT_POINTS = 20_000
+# K-Means groups that the grouped form merges.
+GROUPS = 2_000
 
 
 def _nearest_in_block(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
@@ -89,29 +89,31 @@ def _union(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def ward(points: DataFrame, k: int = FEATURE_CLUSTERS, *, exact_points: int = EXACT_POINTS) -> DataFrame:
+def ward(points: DataFrame, k: int = FEATURE_CLUSTERS) -> DataFrame:
     """``(pid, cluster)``: k clusters, named by their first point.
 
-    ``points(pid, vector, weight)`` holds distinct points.  Above ``exact_points``
-    of them the points are first grouped by K-Means and the groups are merged:
-    every point still gets a cluster, but the tree is approximate.
+    ``points(pid, vector, weight)`` holds distinct points; all of them are merged, at any number.
     """
     points = cut(points.select("pid", "vector", "weight"))
     n = points.count()
-    if n > exact_points:
-        grouped = cut(kmeans(points, exact_points // 10, starts=1, weight="weight", output="_g"))
-        weighted = F.explode(F.transform("vector", lambda x, i: F.struct(i.alias("i"), (x * F.col("weight")).alias("x"))))
-        sums = grouped.select("_g", weighted.alias("c")).groupBy("_g", "c.i").agg(F.sum("c.x").alias("x"))
-        vectors = sums.groupBy("_g").agg(F.array_sort(F.collect_list(F.struct("i", "x"))).alias("xs"))  # one per column
-        sizes = grouped.groupBy("_g").agg(F.sum("weight").alias("weight"), F.min("pid").alias("pid"))
-        centres = sizes.join(vectors, "_g").select(
-            "_g", "pid", "weight", F.transform("xs", lambda s: s["x"] / F.col("weight")).alias("vector")
-        )
-        centres = cut(centres)
-        placed = ward(centres, k, exact_points=exact_points).join(centres.select("pid", "_g"), "pid")
-        return grouped.select("pid", "_g").join(placed.select("_g", "cluster"), "_g").select("pid", "cluster")
     tree = merges(points, n, k)
     if tree is None or n <= k:
         return points.select("pid", F.col("pid").alias("cluster"))
     lowest = cut(tree.orderBy("height", "step", "a").limit(n - k))
     return components(points, lowest).withColumnRenamed("component", "cluster")
+
+
+def ward_grouped(points: DataFrame, k: int = FEATURE_CLUSTERS, *, groups: int = GROUPS) -> DataFrame:
+    """As ``ward``, but merges ``groups`` K-Means groups of the points: every point gets a
+    cluster, the tree is approximate.  For more points than exact merging can compare."""
+    points = cut(points.select("pid", "vector", "weight"))
+    grouped = cut(kmeans(points, groups, starts=1, weight="weight", output="_g"))
+    weighted = F.explode(F.transform("vector", lambda x, i: F.struct(i.alias("i"), (x * F.col("weight")).alias("x"))))
+    sums = grouped.select("_g", weighted.alias("c")).groupBy("_g", "c.i").agg(F.sum("c.x").alias("x"))
+    vectors = sums.groupBy("_g").agg(F.array_sort(F.collect_list(F.struct("i", "x"))).alias("xs"))  # one per column
+    sizes = grouped.groupBy("_g").agg(F.sum("weight").alias("weight"), F.min("pid").alias("pid"))
+    centres = cut(
+        sizes.join(vectors, "_g").select("_g", "pid", "weight", F.transform("xs", lambda s: s["x"] / F.col("weight")).alias("vector"))
+    )
+    placed = ward(centres, k).join(centres.select("pid", "_g"), "pid")
+    return grouped.select("pid", "_g").join(placed.select("_g", "cluster"), "_g").select("pid", "cluster")

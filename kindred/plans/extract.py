@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import logging
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import SparkSession
 
 from kindred.sources.jdbc import read_jdbc
@@ -15,8 +17,9 @@ log = logging.getLogger(__name__)
 def extract_to_csv(spark: SparkSession, url: str, table: str, path: str, **options) -> bool:
     """Copy the projected table to CSV; log and return False if it cannot be read."""
     try:
-        write_csv(read_jdbc(spark, url, table, **options), path)
-    except Exception as error:  # the driver reports failures in many classes
+        rows = read_jdbc(spark, url, table, **options)  # connects to learn the schema
+    except (Py4JJavaError, PySparkException) as error:
         log.error("extract of %s failed: %s", table, error)
         return False
+    write_csv(rows, path)
     return True

@@ -32,7 +32,9 @@ def jdbc_options(
     if driver:
         options["driver"] = driver
     if partition_column:
-        low, high = bounds or (0, 0)
+        if bounds is None or partitions < 2:
+            raise ValueError("a partition column needs bounds and at least two partitions")
+        low, high = bounds
         options |= {
             "partitionColumn": partition_column,
             "lowerBound": str(low),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -15,14 +16,16 @@ BROADCAST_ROW_BOUND = 100_000
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder.
 
-    Taken from ``spark.checkpoint.dir``.  A temporary folder is made only where
-    the setting is absent, that is on one machine in tests.
+    Taken from ``spark.checkpoint.dir``.  Where that is absent a temporary folder is made
+    if all runs on one machine; on a cluster it is an error.
     """
     conf = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     root = spark.conf.get("spark.checkpoint.dir", conf)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         root = tempfile.mkdtemp(prefix="kindred-")
         spark.sparkContext.setCheckpointDir(root)
     return root

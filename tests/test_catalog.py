@@ -2,7 +2,7 @@ import json
 
 from pyspark.sql import functions as F
 
-from kindred.functions.labels import label_set
+from kindred.functions.labels import feature_labels, label_set
 from kindred.operators import clean, labelsets, lookup, profile
 from kindred.sources import dictionary, tables
 from kindred.sources.jdbc import jdbc_options
@@ -104,6 +104,9 @@ def test_recommendation_card_fills_missing(spark):
 def test_counts(spark):
     df = spark.createDataFrame([(["a", "b"],), (["b"],), ([],)], "labels array<string>")
     assert [tuple(r) for r in profile.label_counts(df, "labels", top=1).collect()] == [("b", 2)]
+    texts = spark.createDataFrame([("a, b",), (None,), ("",), (None,)], "text string")
+    counts = profile.label_counts(texts.select(feature_labels("text").alias("labels")), "labels").collect()
+    assert sorted(map(tuple, counts)) == [("", 3), ("a", 1), ("b", 1)]
 
 
 def test_csv_keeps_quotes_breaks_and_blanks(spark, tmp_path):

@@ -10,7 +10,7 @@ from kindred.operators import features, order_stats, rank_clusters, regression
 from kindred.operators.components import components
 from kindred.operators.dbscan import dbscan
 from kindred.operators.silhouette import silhouette
-from kindred.operators.ward import ward
+from kindred.operators.ward import ward, ward_grouped
 
 
 def test_values_at_equals_the_sorted_list(spark):
@@ -156,6 +156,12 @@ def test_ward_equals_naive_merging(spark):
     assert got == brute_ward(v, 3)
 
 
+def test_ward_grouped_keeps_far_groups_apart(spark):
+    v = np.random.default_rng(3).normal(size=(60, 2)) * 0.05 + np.repeat([[0, 0], [9, 9], [0, 9]], 20, axis=0)
+    got = {r.pid: r.cluster for r in ward_grouped(point_frame(spark, v), 3, groups=12).collect()}
+    assert {frozenset(i for i in got if got[i] == c) for c in set(got.values())} == {frozenset(range(a, a + 20)) for a in (0, 20, 40)}
+
+
 def test_silhouette_counts_copies(spark):
     v = np.random.default_rng(5).normal(size=(9, 3))
     weights, labels = [1, 3, 1, 2, 1, 1, 1, 2, 1], [0, 0, 0, 1, 1, 1, -1, -1, 2]

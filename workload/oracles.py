@@ -242,10 +242,10 @@ def all_sql() -> dict[str, str]:
 
     # counts, cleaning, lookups
     sql["label_counts_top"] = f"""WITH {FLAGS},
-split AS (SELECT unnest(string_split(colorIdentity, ', ')) AS label FROM items)
+split AS (SELECT unnest(string_split(coalesce(colorIdentity, ''), ', ')) AS label FROM items)
 SELECT label, count(*) AS n FROM split GROUP BY label ORDER BY n DESC, label LIMIT 10"""
     sql["label_counts_all"] = f"""WITH {FLAGS},
-split AS (SELECT unnest(string_split(colorIdentity, ', ')) AS code FROM items)
+split AS (SELECT unnest(string_split(coalesce(colorIdentity, ''), ', ')) AS code FROM items)
 SELECT CASE code WHEN 'W' THEN 'White' WHEN 'U' THEN 'Blue' WHEN 'B' THEN 'Black' WHEN 'R' THEN 'Red'
        WHEN 'G' THEN 'Green' ELSE code END AS label, count(*) AS n FROM split GROUP BY 1"""
     sql["value_counts"] = "SELECT p_type, count(*) AS n FROM part GROUP BY p_type"

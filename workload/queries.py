@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kindred.functions.labels import decode_all, label_set
+from kindred.functions.labels import decode_all, feature_labels, label_set
 from kindred.functions.noise import gaussian, uniform_int
 from kindred.functions.text import (
     display_text,
@@ -120,12 +120,12 @@ def deck(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
 
 def label_counts_top(spark, sf_dir):
-    items = order_items(spark, sf_dir).withColumn("labels", label_set("colorIdentity"))
+    items = order_items(spark, sf_dir).withColumn("labels", feature_labels("colorIdentity"))
     return profile.label_counts(items, "labels", top=10)
 
 
 def label_counts_all(spark, sf_dir):
-    items = order_items(spark, sf_dir).withColumn("labels", decode_all(label_set("colorIdentity")))
+    items = order_items(spark, sf_dir).withColumn("labels", decode_all(feature_labels("colorIdentity")))
     return profile.label_counts(items, "labels")
 
 
