@@ -43,12 +43,15 @@ def _ranked_walk(scored: DataFrame, wanted: int, has_exit: bool) -> DataFrame:
     )
 
 
-def _score(members: DataFrame, scorers: DataFrame, items: DataFrame, n_scorers: int) -> DataFrame:
-    """Add ``sim`` of each member to its scorer; no common word means 0."""
+def _score(members: DataFrame, scorers: DataFrame, items: DataFrame, usable: DataFrame, n_scorers: int) -> DataFrame:
+    """Add ``sim`` of each member to its scorer; no common word means 0.
+
+    ``usable`` holds the words of the members, ``items`` those of the scorers too.
+    """
     ids = scorers.select(F.col("scorer_id").alias("item_id")).distinct()
     chosen = items.join(small(ids, n_scorers), "item_id", "left_semi")
     anchors = cut(chosen.select(F.col("item_id").alias("anchor_id"), "tokens"))
-    shared = shared_phrases(anchors, items).withColumnRenamed("anchor_id", "scorer_id")
+    shared = shared_phrases(anchors, usable).withColumnRenamed("anchor_id", "scorer_id")
     return members.join(shared, ["scorer_id", "item_id"], "left").withColumn(
         "sim", F.coalesce("shared", F.lit(0)) / F.col("n_phrases")
     )
@@ -79,8 +82,12 @@ def greedy_set(
     ).withColumn("is_last", F.coalesce("is_last", F.lit(False)))
     others = marked.where(F.col("item_id") != F.col("anchor_id"))
 
+    # Only items that some set may use are split into words and compared.
+    ids = cut(members.select("item_id").distinct())
+    usable = cut(items.select("item_id", "tokens").join(small(ids, ids.count()), "item_id", "left_semi"))
+
     anchors = members.select(F.col("anchor_id").alias("scorer_id")).distinct()
-    scored = _score(others.withColumn("scorer_id", F.col("anchor_id")), anchors, items, n_anchors)
+    scored = _score(others.withColumn("scorer_id", F.col("anchor_id")), anchors, items, usable, n_anchors)
     picks = first = cut(_ranked_walk(scored, min(first_span, size - 1), leave_clusters))
 
     if size - 1 > first_span and not first.where(F.col("step") == first_span).isEmpty():
@@ -97,7 +104,7 @@ def greedy_set(
             .join(small(taken, first_span * n_anchors), ["anchor_id", "item_id"], "left_anti")
         )
         second = _ranked_walk(
-            _score(left, turn, items, n_anchors), size - 1 - first_span, leave_clusters
+            _score(left, turn, usable, usable, n_anchors), size - 1 - first_span, leave_clusters
         )
         picks = first.unionByName(second.withColumn("step", F.col("step") + first_span))
 

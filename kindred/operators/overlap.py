@@ -37,7 +37,7 @@ def _with_run_length(hits: DataFrame, keys: list[str]) -> DataFrame:
     """Add the length of the run of equal words that starts at each hit.
 
     ``hits`` has the keys, ``p`` and ``diagonal`` and is partitioned by the
-    keys.  Read from the far end, a run begins where the next pair up the
+    keys and the diagonal.  Read from the far end, a run begins where the next pair up the
     diagonal is absent; both windows share one sort.
     """
     down = Window.partitionBy(*keys, "diagonal").orderBy(F.col("p").desc())
@@ -59,7 +59,7 @@ def _anchor_pairs(anchors: DataFrame) -> DataFrame:
         pairs.join(earlier, ["anchor_id", "pair"])
         .where(F.col("_before") < F.col("p"))
         .select("anchor_id", "p", (F.col("p") - F.col("_before")).alias("diagonal"))
-        .repartition("anchor_id")
+        .repartition("anchor_id", "diagonal")
     )
     seen = _with_run_length(repeats, ["anchor_id"]).groupBy("anchor_id", "p").agg(F.max("length").alias("seen"))
     return pairs.join(seen, ["anchor_id", "p"], "left").select(
@@ -90,9 +90,10 @@ def shared_phrases(anchors: DataFrame, items: DataFrame) -> DataFrame:
     hits = (
         item_pairs.join(build_side(_anchor_pairs(anchors), n_words), "pair")
         .select(*keys, "p", (F.col("q") - F.col("p")).alias("diagonal"), "seen")
-        .repartition(*keys)
+        .repartition(*keys, "diagonal")
     )
-    # One exchange by (item, anchor); the window and both aggregates reuse it.
+    # Dealt by diagonal, so that a text that repeats itself does not fill one task; the best
+    # length of each start is aggregated before the next exchange.
     longer = (
         _with_run_length(hits, keys)
         .groupBy(*keys, "p")

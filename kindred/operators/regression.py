@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kindred.functions.noise import gaussian, shuffle_key
@@ -58,16 +58,17 @@ def cross_validate(
 ) -> DataFrame:
     """``(mean_mse, label_mean)`` over k folds.
 
-    One pass: sums per fold around the overall means, which keeps them small.
-    The training sums of a fold are the totals minus its own.
+    After the fold edges, one pass for the means and one for sums per fold around
+    them, which keeps the sums small.  The training sums of a fold are the totals
+    minus its own.
     """
     folded = assign_folds(df, key, k, seed=seed, exact=exact)
-    x0 = df.select(F.avg(x)).scalar()
-    y0 = df.select(F.avg(y)).scalar()
+    means = df.select(F.struct(F.avg(x).alias("x"), F.avg(y).alias("y"))).scalar()
     u, v = F.col("_u"), F.col("_v")
     names = ("n", "su", "sv", "suu", "suv", "svv")
     sums = (
-        folded.select("fold", (F.col(x) - x0).alias("_u"), (F.col(y) - y0).alias("_v"))
+        folded.withColumn("_m", means)
+        .select("fold", (F.col(x) - F.col("_m.x")).alias("_u"), (F.col(y) - F.col("_m.y")).alias("_v"))
         .groupBy("fold")
         .agg(
             F.count("*").alias("n"),
@@ -78,10 +79,10 @@ def cross_validate(
             F.sum(v * v).alias("svv"),
         )
     )
-    total = sums.agg(*[F.sum(c).alias(f"t_{c}") for c in names])
+    all_folds = Window.partitionBy()  # k + 1 rows
+    totals = sums.withColumns({f"t_{c}": F.sum(c).over(all_folds) for c in names})
     rest = {c: F.col(f"t_{c}") - F.col(c) for c in names}
-    # k + 1 rows and one row
-    both = sums.join(F.broadcast(total), F.lit(True)).where(F.col("fold") < k)
+    both = totals.where(F.col("fold") < k)
     fitted = both.withColumn(
         "slope",
         F.try_divide(
@@ -98,7 +99,7 @@ def cross_validate(
         + 2 * a * b * F.col("su")
         + b * b * F.col("suu")
     )
-    return fitted.agg(F.avg(squared / F.col("n")).alias("mean_mse")).withColumn("label_mean", y0)
+    return fitted.agg(F.avg(squared / F.col("n")).alias("mean_mse")).withColumn("label_mean", means["y"])
 
 
 def split_train_test(

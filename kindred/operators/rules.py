@@ -63,12 +63,23 @@ def _term(best: Column, last: Column, term: str) -> Column:
     return best if term == "best" else last
 
 
+def _in_order(found: DataFrame, by: Column) -> DataFrame:
+    """Sort the rules of each set and number them from 0."""
+    place = Window.partitionBy("anchor_id").orderBy(by, "deck_pos")
+    return (
+        found.withColumn("rule_pos", F.row_number().over(place) - 1)
+        .drop("deck_pos")
+        .orderBy("anchor_id", "rule_pos")
+    )
+
+
 def triple_rules(deck: DataFrame, items: DataFrame, *, term: str = "best") -> DataFrame:
     """Best rule for each card of the set, with support and confidence.
 
     The rule must name neither the card as its scorer nor as its item; ties go to
     the better rank, then the earlier pick.  ``term='best'`` uses the similarity
-    of the chosen rule; ``term='last'`` that of the rule that comes last.
+    of the chosen rule; ``term='last'`` that of the rule that comes last.  Best
+    confidence first, equal ones in the order of the set; ``rule_pos`` counts them.
     """
     per_card = _rules_per_card(deck, _set_similarities(deck, items, "scorer_id"), "r_anchor")
     order = F.struct("r_rank", "r_pos")
@@ -85,9 +96,9 @@ def triple_rules(deck: DataFrame, items: DataFrame, *, term: str = "best") -> Da
     sizes = _words_of(deck, items, "scorer_id").select(
         F.col("item_id").alias("r_anchor"), phrase_count("tokens").alias("r_phrases")
     )
-    cards = deck.select("anchor_id", F.col("item_id").alias("card_id"), "rank")
+    cards = deck.select("anchor_id", F.col("item_id").alias("card_id"), "rank", "deck_pos")
     s = _term(F.col("sim"), F.col("last_sim"), term)
-    return (
+    found = (
         cards.join(best, ["anchor_id", "card_id"], "left")
         .join(last, ["anchor_id", "card_id"], "left")
         .join(used, ["anchor_id", "r_anchor"], "left")
@@ -100,15 +111,17 @@ def triple_rules(deck: DataFrame, items: DataFrame, *, term: str = "best") -> Da
             ((s + F.col("r_sim")) / F.col("uses")).alias("support"),
             (F.try_divide(s + F.col("r_sim"), F.col("r_sim")) / F.col("r_phrases")).alias("confidence"),
             "rank",
+            "deck_pos",
         )
     )
+    return _in_order(found, F.col("confidence").desc_nulls_last())
 
 
 def triple_rules_mean(deck: DataFrame, items: DataFrame, *, term: str = "best") -> DataFrame:
     """The older form: rules are scored by their item, support by the mean similarity.
 
     ``term='last'`` uses the similarity of the rule that comes last and reports
-    that rule's pair.
+    that rule's pair.  Best rank first, equal ones in the order of the set.
     """
     sims = _set_similarities(deck, items, "item_id")
     mean = sims.groupBy("anchor_id", F.col("b").alias("card_id")).agg(F.avg("sim").alias("mean_sim"))
@@ -121,8 +134,8 @@ def triple_rules_mean(deck: DataFrame, items: DataFrame, *, term: str = "best")
     pair = _term(F.col("best"), F.col("last"), term)
     s = _term(F.col("best.sim"), F.col("last.sim"), term)
     total = s + F.col("best.r_sim")
-    cards = deck.select("anchor_id", F.col("item_id").alias("card_id"), "rank")
-    return (
+    cards = deck.select("anchor_id", F.col("item_id").alias("card_id"), "rank", "deck_pos")
+    found = (
         cards.join(chosen, ["anchor_id", "card_id"])
         .join(mean, ["anchor_id", "card_id"])
         .select(
@@ -133,17 +146,19 @@ def triple_rules_mean(deck: DataFrame, items: DataFrame, *, term: str = "best")
             F.try_divide(total, F.col("mean_sim")).alias("support"),
             F.try_divide(total, F.col("best.r_sim")).alias("confidence"),
             "rank",
+            "deck_pos",
         )
     )
+    return _in_order(found, F.col("rank"))
 
 
 def top_rules(triples: DataFrame, names: DataFrame, n: int = 10) -> DataFrame:
     """The rules of highest confidence, with the names of the three items.
 
-    ``names(item_id, name)``.
+    ``triples`` as ``triple_rules`` returns them; ``names(item_id, name)``.
     """
     columns = ("r_anchor", "r_item", "card_id")
-    top = cut(triples.orderBy(F.col("confidence").desc_nulls_last(), "card_id").limit(n))
+    top = cut(triples.orderBy(F.col("confidence").desc_nulls_last(), "rule_pos").limit(n))
     ids = top.select(F.explode(F.array(*columns)).alias("item_id")).distinct()
     known = cut(names.join(small(ids, 3 * n), "item_id").select("item_id", "name"))
     for column in columns:

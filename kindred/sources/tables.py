@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from kindred.sources.staging import small
+
 _S, _D, _B = T.StringType(), T.DoubleType(), T.BooleanType()
 
 ITEM_SCHEMA = T.StructType(
@@ -35,13 +37,15 @@ def read_csv(
     schema: T.StructType,
     *,
     na_tokens: Sequence[str] = (),
+    multi_line: bool = True,
 ) -> DataFrame:
     """CSV scan with quoted line breaks and doubled quotes.
 
-    Only the empty field is null; ``na_tokens`` adds further null spellings.
+    Files known to hold no quoted line breaks can be read with ``multi_line=False``; large
+    ones are then split among tasks (not for ``with_row_order``).  Only the empty field is null; ``na_tokens`` adds further null spellings.
     """
     df = spark.read.schema(schema).csv(
-        path, header=True, multiLine=True, quote='"', escape='"'
+        path, header=True, multiLine=multi_line, quote='"', escape='"'
     )
     if not na_tokens:
         return df
@@ -61,7 +65,7 @@ def with_row_order(scan: DataFrame, name: str = "ord") -> DataFrame:
 
     Rows of one file are read in one go, so their generated ids are
     consecutive; one small aggregate per file gives the offsets.  No row is
-    sorted or shuffled.
+    sorted or, up to the bound of a broadcast on the number of files, shuffled.
     """
     from pyspark.sql import Window
 
@@ -76,7 +80,7 @@ def with_row_order(scan: DataFrame, name: str = "ord") -> DataFrame:
         "_file", (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_shift")
     )
     return (
-        marked.join(offsets, "_file")
+        marked.join(small(offsets, len(scan.inputFiles())), "_file")
         .withColumn(name, F.col("_row") + F.col("_shift"))
         .drop("_file", "_row", "_shift")
     )

@@ -120,6 +120,14 @@ def test_csv_keeps_quotes_breaks_and_blanks(spark, tmp_path):
     assert sorted(map(tuple, back.collect()), key=str) == sorted(expected, key=str)
 
 
+def test_csv_without_breaks_can_be_split(spark, tmp_path):
+    rows = [(i, f'say "{i}", x') for i in range(50)]
+    df = spark.createDataFrame(rows, "ord long, text string")
+    tables.write_csv(df, str(tmp_path / "c"))
+    got = tables.read_csv(spark, str(tmp_path / "c"), df.schema, multi_line=False)
+    assert sorted(map(tuple, got.collect())) == rows
+
+
 def test_na_tokens_are_opt_in(spark, tmp_path):
     (tmp_path / "t.csv").write_text("a,b\nNone,1\nx,\n")
     schema = "a string, b string"

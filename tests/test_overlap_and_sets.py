@@ -53,6 +53,13 @@ def test_overlap_equals_brute_force(spark, letters, longest):
     assert got == {k: v for k, v in want.items() if v}
 
 
+def test_overlap_of_one_word_texts(spark):
+    texts = {1: ["a"] * 1200, 2: ["a"] * 700}
+    items = words_frame(spark, texts)
+    got = {(r.anchor_id, r.item_id): r.shared for r in shared_phrases(items.withColumnRenamed("item_id", "anchor_id"), items).collect()}
+    assert got == {(1, 1): 1200, (1, 2): 700, (2, 1): 700, (2, 2): 700}
+
+
 def test_overlap_beyond_the_broadcast_bound(spark, monkeypatch):
     from kindred.sources import staging
 
@@ -141,6 +148,13 @@ def test_triple_rules_equal_the_loop(spark, term):
         want = loop(texts, deck, rank, term)
         rows = rules(frame, items, term=term).collect()
         assert len(rows) == len(deck)
+        assert [r.rule_pos for r in rows] == list(range(len(deck)))
+        place = {i: p for p, (_, i, _) in enumerate(deck)}
+        if rules is triple_rules:
+            order = [(r.confidence is None, -(r.confidence or 0), place[r.card_id]) for r in rows]
+        else:
+            order = [(rank[r.card_id], place[r.card_id]) for r in rows]
+        assert order == sorted(order)
         for r in rows:
             a, b, support, confidence = want[r.card_id] or (None,) * 4
             assert (r.r_anchor, r.r_item) == (a, b)

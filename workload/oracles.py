@@ -183,12 +183,15 @@ uses AS (SELECT scorer_id AS r_anchor, count(*) AS uses FROM rel_deck GROUP BY 1
 triples AS (
   SELECT 1 AS anchor_id, x.r_anchor, x.r_item, c.item_id AS card_id,
          {rounded(f'({s} + r_sim) / uses', 9, 'support')},
-         {rounded(f'(({s} + r_sim) / nullif(r_sim, 0)) / n', 9, 'confidence')}, c.rank
+         {rounded(f'(({s} + r_sim) / nullif(r_sim, 0)) / n', 9, 'confidence')}, c.rank,
+         row_number() OVER (ORDER BY ({s} + r_sim) / nullif(r_sim, 0) / n DESC NULLS LAST, c.deck_pos) - 1 AS rule_pos
   FROM rel_deck c LEFT JOIN best x ON x.card_id = c.item_id LEFT JOIN finals f ON f.card_id = c.item_id
   LEFT JOIN uses ON uses.r_anchor = x.r_anchor LEFT JOIN words ON words.item_id = x.r_anchor)"""
 
 
-TRIPLES_MEAN = f"""{DECK},
+def triples_mean(term: str) -> str:
+    told = "best_rn" if term == "best" else "last_rn"
+    return f"""{DECK},
 deck_words AS (SELECT item_id, item_id AS aid, t, n FROM words WHERE item_id IN (SELECT item_id FROM rel_deck)),
 {overlap('tri', 'deck_words', 'deck_words')},
 all_sims AS (
@@ -196,14 +199,17 @@ all_sims AS (
   FROM deck_words a CROSS JOIN deck_words b LEFT JOIN tri_shared s ON s.aid = a.aid AND s.iid = b.item_id),
 chosen AS (
   SELECT card_id, scorer_id AS r_anchor, d.item_id AS r_item, d.sim AS r_sim, s.sim,
-         row_number() OVER (PARTITION BY card_id ORDER BY s.sim DESC, rank, deck_pos) AS rn
+         row_number() OVER (PARTITION BY card_id ORDER BY s.sim DESC, rank, deck_pos) AS best_rn,
+         row_number() OVER (PARTITION BY card_id ORDER BY rank DESC, deck_pos DESC) AS last_rn
   FROM rel_deck d JOIN all_sims s ON s.aid = d.item_id),
 means AS (SELECT card_id, avg(sim) AS mean_sim FROM all_sims GROUP BY 1),
 triples AS (
-  SELECT 1 AS anchor_id, r_anchor, r_item, x.card_id,
-         {rounded('(x.sim + r_sim) / nullif(mean_sim, 0)', 9, 'support')},
-         {rounded('(x.sim + r_sim) / nullif(r_sim, 0)', 9, 'confidence')}, c.rank
-  FROM chosen x JOIN means USING (card_id) JOIN rel_deck c ON c.item_id = x.card_id WHERE rn = 1)"""
+  SELECT 1 AS anchor_id, x.r_anchor, x.r_item, x.card_id,
+         {rounded('(x.sim + y.r_sim) / nullif(mean_sim, 0)', 9, 'support')},
+         {rounded('(x.sim + y.r_sim) / nullif(y.r_sim, 0)', 9, 'confidence')}, c.rank,
+         row_number() OVER (ORDER BY c.rank, c.deck_pos) - 1 AS rule_pos
+  FROM chosen x JOIN chosen y ON y.card_id = x.card_id AND y.best_rn = 1
+  JOIN means ON means.card_id = x.card_id JOIN rel_deck c ON c.item_id = x.card_id WHERE x.{told} = 1)"""
 
 LINES = """lines AS (
   SELECT *, concat_ws(':', l_orderkey, l_partkey, l_suppkey, l_linenumber) AS key,
@@ -317,12 +323,14 @@ anchors AS (SELECT item_id AS aid, {words('text')} AS t FROM benchmark),
 SELECT aid AS anchor_id, iid AS item_id, shared, n AS n_phrases, shared / n AS sim
 FROM o_shared JOIN words ON words.item_id = iid"""
     sql["candidates"] = f"""WITH turns AS (
-  SELECT conv_id * 1000 + turn AS item_id, role AS name, {last_paragraph(marked('text'))} AS paragraph FROM conversations),
+  SELECT row_number() OVER (ORDER BY conv_id, turn) AS item_id, conv_id, turn, role AS name,
+         {last_paragraph(marked('text'))} AS paragraph FROM conversations),
 lists AS (SELECT item_id, string_split(paragraph, ' ') AS t FROM turns),
 first_turn AS (SELECT item_id AS aid, t FROM lists ORDER BY item_id LIMIT 1),
 {overlap('o', 'first_turn', 'lists')}
-SELECT min(item_id) AS ord, name, paragraph, shared AS overlap FROM turns JOIN o_shared ON iid = item_id
-WHERE shared > 2 GROUP BY name, paragraph, shared ORDER BY ord LIMIT 62"""
+SELECT conv_id, turn, x.name, x.paragraph, overlap FROM (
+  SELECT min(item_id) AS ord, name, paragraph, shared AS overlap FROM turns JOIN o_shared ON iid = item_id
+  WHERE shared > 2 GROUP BY name, paragraph, shared ORDER BY ord LIMIT 62) x JOIN turns ON item_id = ord"""
 
     # rank clusters
     sql["bucket_edges"] = """WITH s AS (
@@ -346,9 +354,10 @@ FROM per a JOIN per b ON b.cluster_pos = a.cluster_pos + 1"""
     sql["greedy_set"] = f"WITH {DECK} SELECT 1 AS anchor_id, deck_pos, scorer_id, item_id, sim, rank FROM rel_deck"
     sql["triple_rules"] = f"WITH {triples('best')} SELECT * FROM triples"
     sql["triple_rules_last"] = f"WITH {triples('last')} SELECT * FROM triples"
-    sql["triple_rules_mean"] = f"WITH {TRIPLES_MEAN} SELECT * FROM triples"
+    sql["triple_rules_mean"] = f"WITH {triples_mean('best')} SELECT * FROM triples"
+    sql["triple_rules_mean_last"] = f"WITH {triples_mean('last')} SELECT * FROM triples"
     sql["top_rules"] = f"""WITH {triples('best')},
-top AS (SELECT * FROM triples ORDER BY confidence DESC NULLS LAST, card_id LIMIT 10)
+top AS (SELECT * FROM triples ORDER BY rule_pos LIMIT 10)
 SELECT a.name AS r_anchor_name, b.name AS r_item_name, c.name AS card_id_name, support, confidence
 FROM top LEFT JOIN docs a ON a.item_id = r_anchor LEFT JOIN docs b ON b.item_id = r_item LEFT JOIN docs c ON c.item_id = card_id"""
     sql["related_items"] = f"WITH {CURRENT} SELECT item_id, name, text, rank, setCode, sim_score FROM found"
@@ -356,8 +365,9 @@ FROM top LEFT JOIN docs a ON a.item_id = r_anchor LEFT JOIN docs b ON b.item_id
     sql["upcoming_recs"] = f"WITH {UPCOMING} SELECT * FROM recs"
     sql["recommendation_lookup"] = f"""WITH {UPCOMING}
 SELECT name AS cardname, types, replace(text, {MARK}, '- ') AS text, coalesce(manaCost, 'manaCost not found') AS manaCost,
-       replace(text, {MARK}, '- ') AS cardtext, edhrecRank AS edhrec, edhrecRank_prediction AS edhrec_predicted, sim_score
-FROM recs WHERE name = 'doc-278' LIMIT 1"""
+       replace(text, {MARK}, '- ') AS cardtext, CAST(edhrecRank AS VARCHAR) AS edhrec,
+       CAST(edhrecRank_prediction AS VARCHAR) AS edhrec_predicted, CAST(sim_score AS VARCHAR) AS sim_score
+FROM recs ORDER BY recs.sim_score DESC, card_index LIMIT 1"""
 
     # features and clustering
     sql["standardise"] = f"""WITH m AS (

@@ -274,12 +274,12 @@ def phrase_overlap(spark, sf_dir):
 
 def candidates(spark, sf_dir):
     turns = table(spark, sf_dir, "conversations").select(
-        (F.col("conv_id") * 1000 + F.col("turn")).alias("item_id"),
-        (F.col("conv_id") * 1000 + F.col("turn")).alias("ord"),
+        F.struct("conv_id", "turn").alias("item_id"),
+        F.struct("conv_id", "turn").alias("ord"),
         F.col("role").alias("name"),
         marked("text").alias("text"),
     )
-    return find_candidates(turns)
+    return find_candidates(turns).select("ord.conv_id", "ord.turn", "name", "paragraph", "overlap")
 
 
 # --- rank clusters -----------------------------------------------------------
@@ -358,6 +358,11 @@ def triple_rules_mean(spark, sf_dir):
     return _rounded(rules.triple_rules_mean(picked, related.item_words(items)))
 
 
+def triple_rules_mean_last(spark, sf_dir):
+    picked, items = deck(spark, sf_dir)
+    return _rounded(rules.triple_rules_mean(picked, related.item_words(items), term="last"))
+
+
 def top_rules(spark, sf_dir):
     picked, items = deck(spark, sf_dir)
     return _rounded(rules.top_rules(rules.triple_rules(picked, related.item_words(items)), items))
@@ -385,11 +390,10 @@ def upcoming_recs(spark, sf_dir):
 
 
 def recommendation_lookup(spark, sf_dir):
-    recs = upcoming_recs(spark, sf_dir)
-    card = lookup.recommendation_card(recs, "doc-278")
-    return card.withColumns(
-        {c: F.col(c).cast("double") for c in ("edhrec", "edhrec_predicted", "sim_score")}
-    )
+    """The first recommendation as it is displayed: values and gaps are strings."""
+    recs = staging.cut(upcoming_recs(spark, sf_dir))
+    first = recs.orderBy(F.col("sim_score").desc(), "card_index").select("name").first()
+    return lookup.recommendation_card(recs, first["name"] if first else "")
 
 
 # --- features and clustering -------------------------------------------------
@@ -560,7 +564,7 @@ REGISTERED: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     multi_hot_rows, cosine_topn, cosine_topn_vectors,
     phrase_list, last_paragraph_phrases, phrase_overlap, candidates,
     bucket_edges, rank_kmeans, cluster_sse, cluster_boundary, cluster_counts,
-    greedy_set, triple_rules, triple_rules_last, triple_rules_mean, top_rules,
+    greedy_set, triple_rules, triple_rules_last, triple_rules_mean, triple_rules_mean_last, top_rules,
     related_items, related_names, upcoming_recs, recommendation_lookup,
     standardise, dbscan, dbscan_points, kmeans, ward, silhouette, cluster_scores,
     linreg, training_mse, kfold_mse, train_test_split, synthetic_score, random_draws,
