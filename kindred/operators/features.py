@@ -66,13 +66,18 @@ def kmeans(
     starts: int = KMEANS_STARTS,
     weight: str | None = None,
     output: str = "cluster",
+    rounds: int = 20,
+    tolerance: float = 1e-4,
 ) -> DataFrame:
-    """K-Means, the best of several starts by training cost."""
+    """K-Means, the best of several starts by training cost.
+
+    A start ends after ``rounds`` or when no mean moves more than ``tolerance``.
+    """
     data = points.withColumn("_v", array_to_vector(F.col(vector).cast("array<double>"))).persist()
     try:
         models = []
         for start in range(starts):
-            estimator = KMeans(k=k, seed=seed + start, featuresCol="_v", predictionCol=output)
+            estimator = KMeans(k=k, seed=seed + start, featuresCol="_v", predictionCol=output, maxIter=rounds, tol=tolerance)
             if weight:
                 estimator = estimator.setWeightCol(weight)
             models.append(estimator.fit(data))
@@ -80,3 +85,33 @@ def kmeans(
     finally:
         data.unpersist()
     return best.transform(data).drop("_v")
+
+
+def misplaced(placed: DataFrame, *, vector: str = "vector", cluster: str = "cluster", slack: float = 1e-6) -> DataFrame:
+    """``(points, clusters, misplaced)``: points nearer to the mean of a cluster not their own.
+
+    ``placed`` has ``weight``.  The means are few and meet the points as one scalar.
+    """
+    share = F.col("_x") * F.col("weight")
+    means = (
+        placed.select(cluster, "weight", F.posexplode(vector).alias("_i", "_x"))
+        .groupBy(cluster, "_i")
+        .agg((F.sum(share) / F.sum("weight")).alias("_x"))
+        .groupBy(cluster)
+        .agg(F.transform(F.array_sort(F.collect_list(F.struct("_i", "_x"))), lambda c: c["_x"]).alias("mean"))
+    )
+    listed = means.select(F.collect_list(F.struct(F.col(cluster).alias("cluster"), "mean"))).scalar()
+
+    def apart(mean):
+        return F.sqrt(F.aggregate(F.zip_with(vector, mean, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda t, v: t + v))
+
+    far = placed.withColumn("_means", listed).withColumn(
+        "_far", F.transform("_means", lambda m: F.struct(m["cluster"].alias("cluster"), apart(m["mean"]).alias("d")))
+    )
+    own = F.array_max(F.transform(F.filter("_far", lambda f: f["cluster"] == F.col(cluster)), lambda f: f["d"]))
+    least = F.array_min(F.transform("_far", lambda f: f["d"]))
+    return far.agg(
+        F.count("*").alias("points"),
+        F.count_distinct(cluster).alias("clusters"),
+        F.count_if(least < own - slack).alias("misplaced"),
+    )

