@@ -19,17 +19,20 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 BUCKETS = 256
+# Rows of a wanted bucket up to which it is not divided further.
+ROWS_AT_ONCE = 1_000_000
 
 
 Positions = Sequence[int] | Callable[[int], Sequence[int]]
 
 
-def values_at(df: DataFrame, key: str, bucket: str, positions: Positions) -> list:
+def values_at(df: DataFrame, key: str, bucket: str, positions: Positions, finer: Sequence[str] = ()) -> list:
     """Values of ``key`` at the sorted positions (from 0).
 
     ``positions`` may be a function of the row count.  ``bucket`` must not
-    decrease as ``key`` grows.  What reaches the driver is one count per bucket
-    and one value per position.
+    decrease as ``key`` grows.  ``finer`` names columns that divide buckets in turn, each
+    also in order of ``key``; large wanted buckets are divided until they are small.  What
+    reaches the driver is one count per bucket (of those that are divided) and one value per position.
     """
     sizes = sorted((r[0], r[1]) for r in df.groupBy(bucket).count().collect())
     names = [b for b, _ in sizes]
@@ -45,6 +48,24 @@ def values_at(df: DataFrame, key: str, bucket: str, positions: Positions) -> lis
     for position in positions:
         at = bisect_right(ends, position)
         targets.append((names[at], position - (ends[at - 1] if at else 0)))
+    held = dict(sizes)
+    for column in finer:
+        if max(held[name] for name, _ in targets) <= ROWS_AT_ONCE:
+            break
+        df = df.where(F.col(bucket).isin(sorted({name for name, _ in targets})))
+        inner = sorted((r[0], r[1], r[2]) for r in df.groupBy(bucket, column).count().collect())
+        divided = {}
+        for name, part, n in inner:
+            parts = divided.setdefault(name, ([], []))
+            parts[0].append(part)
+            parts[1].append(n + (parts[1][-1] if parts[1] else 0))
+        held = {part: n for _, part, n in inner}
+        moved = []
+        for name, offset in targets:
+            inside, upper = divided[name]
+            at = bisect_right(upper, offset)
+            moved.append((inside[at], offset - (upper[at - 1] if at else 0)))
+        targets, bucket = moved, column
 
     upto = Window.partitionBy(bucket).orderBy(key)
     inside = (
@@ -85,8 +106,10 @@ def numeric_values_at(df: DataFrame, column: str, positions: Positions) -> list[
 
 def digest_values_at(df: DataFrame, key: str, positions: Positions, digits: int = 3) -> list[str]:
     """``values_at`` for a hex digest; its leading digits are even buckets."""
-    keyed = df.select(F.col(key).alias("_key"), F.substring(key, 1, digits).alias("_bucket"))
-    return values_at(keyed, "_key", "_bucket", positions)
+    finer = [f"_bucket_{n}" for n in range(2 * digits, 32, digits)]
+    prefixes = [F.substring(key, 1, digits * (i + 2)).alias(c) for i, c in enumerate(finer)]
+    keyed = df.select(F.col(key).alias("_key"), F.substring(key, 1, digits).alias("_bucket"), *prefixes)
+    return values_at(keyed, "_key", "_bucket", positions, finer)
 
 
 def with_position(df: DataFrame, column: str, output: str) -> DataFrame:

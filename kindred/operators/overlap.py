@@ -109,13 +109,14 @@ def shared_phrases(anchors: DataFrame, items: DataFrame) -> DataFrame:
     )
 
 
-def similarity(anchors: DataFrame, items: DataFrame) -> DataFrame:
+def similarity(anchors: DataFrame, items: DataFrame, top: int | None = None) -> DataFrame:
     """``(anchor_id, item_id, shared, n_phrases, sim)`` for pairs that share a word.
 
-    Pairs without a common word have similarity 0 and are not listed.
+    Pairs without a common word have similarity 0 and are not listed.  ``top`` keeps that many
+    items of each anchor, ties to the least id; by default all are listed.
     """
     sizes = items.select("item_id", phrase_count("tokens").alias("n_phrases"))
-    return (
+    pairs = (
         shared_phrases(anchors, items)
         .join(sizes, "item_id")
         .select(
@@ -123,3 +124,7 @@ def similarity(anchors: DataFrame, items: DataFrame) -> DataFrame:
             (F.col("shared") / F.col("n_phrases")).alias("sim"),
         )
     )
+    if top is None:
+        return pairs
+    best = Window.partitionBy("anchor_id").orderBy(F.col("sim").desc(), "item_id")
+    return pairs.withColumn("_place", F.row_number().over(best)).where(F.col("_place") <= top).drop("_place")

@@ -29,20 +29,28 @@ def distances(a: pd.DataFrame, b: pd.DataFrame) -> np.ndarray:
 def by_blocks(
     points: DataFrame,
     n: int,
-    reduce_pair: Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame],
+    reduce_pair: Callable[[pd.DataFrame, pd.DataFrame, np.ndarray], pd.DataFrame],
     schema: str,
 ) -> DataFrame:
-    """Apply ``reduce_pair`` to each ordered pair of blocks of the points."""
+    """Apply ``reduce_pair(a, b, distances)`` to each ordered pair of blocks of the points.
+
+    Two blocks meet in one group, which serves both directions with the same distances.
+    """
     blocks = max(1, -(-n // BLOCK_ROWS))
     dealt = points.withColumn("_own", F.pmod(F.xxhash64("pid"), F.lit(blocks)))
-    every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)).cast("array<bigint>"))
-    left = dealt.withColumnRenamed("_own", "_i").withColumn("_j", every)
-    right = dealt.withColumnRenamed("_own", "_j").withColumn("_i", every)
+
+    def numbers(low, high):
+        return F.explode(F.sequence(low.cast("bigint"), high.cast("bigint")))
+
+    left = dealt.withColumnRenamed("_own", "_i").withColumn("_j", numbers(F.col("_i"), F.lit(blocks - 1)))
+    right = dealt.withColumnRenamed("_own", "_j").withColumn("_i", numbers(F.lit(0), F.col("_j")))
     right = right.select(*[F.col(c).alias(c) for c in left.columns])  # columns of its own
 
-    def apply(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+    def apply(key: tuple, a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         if a.empty or b.empty:
             return pd.DataFrame({c.split()[0]: [] for c in schema.split(", ")})
-        return reduce_pair(a, b)
+        between = distances(a, b)
+        forth = reduce_pair(a, b, between)
+        return forth if key[0] == key[1] else pd.concat([forth, reduce_pair(b, a, between.T)])
 
     return left.groupBy("_i", "_j").cogroup(right.groupBy("_i", "_j")).applyInPandas(apply, schema)

@@ -12,19 +12,20 @@ from pyspark.sql import functions as F
 from kindred.fixed import FEATURE_CLUSTERS
 from kindred.operators.components import components
 from kindred.operators.features import kmeans
-from kindred.operators.pairwise import by_blocks, distances
+from kindred.operators.pairwise import by_blocks
 from kindred.sources.staging import cut
 
 # K-Means groups that the grouped form merges.
 GROUPS = 2_000
 
 
-def _nearest_in_block(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+def _nearest_in_block(a: pd.DataFrame, b: pd.DataFrame, between: np.ndarray) -> pd.DataFrame:
     """Cheapest partner in block b of each group in block a; ties to the least id."""
-    b = b.sort_values("pid")
+    order = np.argsort(b["pid"].to_numpy())
+    b, between = b.iloc[order], between[:, order]
     na, nb = a["weight"].to_numpy()[:, None], b["weight"].to_numpy()[None, :]
     # Rounded so that both directions of a pair agree.
-    cost = np.round(distances(a, b) * np.sqrt(2.0 * na * nb / (na + nb)), 10)
+    cost = np.round(between * np.sqrt(2.0 * na * nb / (na + nb)), 10)
     cost[a["pid"].to_numpy()[:, None] == b["pid"].to_numpy()[None, :]] = np.inf
     at = cost.argmin(1)
     return pd.DataFrame(

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from kindred.operators import features, order_stats, rank_clusters, regression
+from kindred.operators import features, order_stats, pairwise, rank_clusters, regression
 from kindred.operators.components import components
 from kindred.operators.dbscan import dbscan
 from kindred.operators.silhouette import silhouette
@@ -25,6 +25,15 @@ def test_values_at_equals_the_sorted_list(spark):
     assert order_stats.with_position(unique, "v", "p").where("p <> v").isEmpty()
 
 
+def test_digests_are_found_through_finer_buckets(spark, monkeypatch):
+    monkeypatch.setattr(order_stats, "ROWS_AT_ONCE", 3)
+    rng = random.Random(6)
+    digests = [f"{rng.choice(['abc', 'abd'])}{rng.choice(['000', '001'])}{rng.getrandbits(104):026x}" for _ in range(300)] * 2
+    df = spark.createDataFrame([(d,) for d in digests], "d string")
+    at = [0, 1, 150, 299, 300, 599]
+    assert order_stats.digest_values_at(df, "d", at) == [sorted(digests)[i] for i in at]
+
+
 def test_rank_clusters_worked_example(spark):
     ranks = [1.0, 2.0, 3.0, 10.0, 11.0, 12.0]
     items = spark.createDataFrame([(i, i, r) for i, r in enumerate(ranks)], "item_id long, ord long, rank double")
@@ -131,6 +140,23 @@ def test_dbscan_equals_expansion_in_row_order(spark):
     assert [got[i] for i in range(70)] == brute_dbscan(v, 0.5, 4)
 
 
+@pytest.mark.parametrize("width,eps", [(1, 0.02), (2, 0.25), (3, 0.6)])
+def test_dbscan_with_dense_cells_and_weights(spark, width, eps):
+    rng = np.random.default_rng(width)
+    v = np.concatenate([rng.uniform(0, 3, size=(60, width)), rng.normal(1, 0.1, size=(60, width))])
+    weights = [int(w) for w in rng.integers(1, 3, size=len(v))]
+    rows = np.repeat(np.arange(len(v)), weights)
+    want = dict(zip(rows.tolist(), brute_dbscan(v[rows], eps, 5)))
+    got = {r.pid: r.cluster for r in dbscan(point_frame(spark, v, weights), eps=eps, min_samples=5).collect()}
+    assert got == want
+
+
+def test_dbscan_does_not_compare_points_of_a_dense_cell(spark):
+    at = F.array(0.001 + F.col("id") * 1e-9, 0.001 + (F.col("id") * 7919 % 50_000) * 1e-9)
+    points = spark.range(50_000).select(F.col("id").alias("pid"), at.alias("vector"), F.lit(1).alias("weight"))
+    assert [tuple(r) for r in dbscan(points).groupBy("cluster").count().collect()] == [(0, 50_000)]
+
+
 def test_dbscan_on_labels_groups_equal_rows(spark):
     rows = [(i, ["a"]) for i in range(5)] + [(i, ["b"]) for i in range(5, 9)]
     items = spark.createDataFrame(rows, "ord long, features array<string>")
@@ -150,7 +176,9 @@ def brute_ward(v, k):
     return {i: min(g) for g in groups.values() for i in g}
 
 
-def test_ward_equals_naive_merging(spark):
+@pytest.mark.parametrize("block", [1024, 6])
+def test_ward_equals_naive_merging(spark, monkeypatch, block):
+    monkeypatch.setattr(pairwise, "BLOCK_ROWS", block)
     v = np.random.default_rng(8).normal(size=(14, 2))
     got = {r.pid: r.cluster for r in ward(point_frame(spark, v), 3).collect()}
     assert got == brute_ward(v, 3)
@@ -162,7 +190,9 @@ def test_ward_grouped_keeps_far_groups_apart(spark):
     assert {frozenset(i for i in got if got[i] == c) for c in set(got.values())} == {frozenset(range(a, a + 20)) for a in (0, 20, 40)}
 
 
-def test_silhouette_counts_copies(spark):
+@pytest.mark.parametrize("block", [1024, 2])
+def test_silhouette_counts_copies(spark, monkeypatch, block):
+    monkeypatch.setattr(pairwise, "BLOCK_ROWS", block)
     v = np.random.default_rng(5).normal(size=(9, 3))
     weights, labels = [1, 3, 1, 2, 1, 1, 1, 2, 1], [0, 0, 0, 1, 1, 1, -1, -1, 2]
     rows = np.repeat(np.arange(9), weights)

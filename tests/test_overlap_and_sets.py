@@ -39,6 +39,8 @@ def test_worked_overlaps(spark):
         for r in similarity(items.withColumnRenamed("item_id", "anchor_id"), items).collect()
     }
     assert found[1, 2] == 6 / 28 and found[2, 1] == 1.0 and found[3, 3] == pytest.approx(2 / 3)
+    best = similarity(items.withColumnRenamed("item_id", "anchor_id"), items, top=1).collect()
+    assert {(r.anchor_id, r.item_id) for r in best} == {(1, 1), (2, 1), (3, 3)}
 
 
 @pytest.mark.parametrize("letters,longest", [("ab", 12), ("abcdefg", 40), ("a", 30)])
