@@ -50,6 +50,8 @@ ROUNDS = 2
 WAITS_FROM = 24
 # Parts that wait are remembered as places of a bit map of this size; parts that meet there by chance wait too.
 PLACES = 1 << 22
+# Parts from which a task sends on the stars of the texts it holds.
+PARTS_AT_ONCE = 1 << 20
 LOOK = ("look_0", "look_1", "look_2", "look_3")
 
 PROFILE = (
@@ -202,36 +204,44 @@ def _range(doc: np.ndarray, i: int) -> slice:
     return slice(int(np.searchsorted(doc, i)), int(np.searchsorted(doc, i, side="right")))
 
 
+def _stars(parts: list[np.ndarray], ids: list[np.ndarray]) -> pa.RecordBatch:
+    """``(part, doc_id, rep)``: the least document of each part, and the others with it as ``rep``."""
+    part, doc_id = np.concatenate(parts), np.concatenate(ids)
+    order = np.lexsort((doc_id, part))
+    part, doc_id = part[order], doc_id[order]
+    first = _starts(part)
+    rep = np.repeat(doc_id[first], np.diff(np.r_[first, len(part)]))
+    lead = np.zeros(len(part), bool)
+    lead[first] = True
+    keep = lead | (rep != doc_id)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(part[keep]), pa.array(doc_id[keep]), pa.array(rep[keep], mask=lead[keep])],
+        names=["part", "doc_id", "rep"],
+    )
+
+
 def part_stars(docs: DataFrame, common: np.ndarray, waiting: np.ndarray, width: int, percent: int) -> DataFrame:
     """``(part, doc_id, rep)``: documents and the least document that shares the part."""
     shared = docs.sparkSession.sparkContext.broadcast((common, waiting))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            parts, ids = [], []
+            parts, ids, held = [], [], 0
             for rows, texts in W.slices(batch, "text"):
                 doc, values = _sets(texts, width)
                 sizes = np.bincount(doc, minlength=len(texts))
                 doc, name = _part_names(doc, values, sizes, *shared.value, percent)
                 parts.append(name.view(np.int64))
                 ids.append(rows.column(0).to_numpy(zero_copy_only=False).astype(np.int64)[doc])
-            if not parts:
-                continue
-            part, doc_id = np.concatenate(parts), np.concatenate(ids)
-            order = np.lexsort((doc_id, part))
-            part, doc_id = part[order], doc_id[order]
-            first = _starts(part)
-            rep = np.repeat(doc_id[first], np.diff(np.r_[first, len(part)]))
-            lead = np.zeros(len(part), bool)
-            lead[first] = True
-            keep = lead | (rep != doc_id)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(part[keep]), pa.array(doc_id[keep]), pa.array(rep[keep], mask=lead[keep])],
-                names=["part", "doc_id", "rep"],
-            )
+                held += len(name)
+                if held >= PARTS_AT_ONCE:
+                    yield _stars(parts, ids)
+                    parts, ids, held = [], [], 0
+            if parts:
+                yield _stars(parts, ids)
 
     met = docs.where("doc_id is not null").mapInArrow(run, "part long, doc_id long, rep long")
-    # A batch sends one row for each part to that part's task; rows with a star of their own are dealt by document.
+    # The texts held at once send one row for each part to that part's task; rows with a star of their own are dealt by document.
     place = Window.partitionBy("part", F.when(F.col("rep").isNotNull(), F.col("doc_id"))).orderBy("doc_id")
     return met.select(
         "part", "doc_id", F.coalesce("rep", F.first("doc_id").over(place.rowsBetween(Window.unboundedPreceding, 0))).alias("rep")

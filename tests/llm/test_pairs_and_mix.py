@@ -72,6 +72,7 @@ def test_crowded_parts_wait(spark, monkeypatch):
     for i in range(40):
         own = [f"d{i}x{k}" for k in range(30)] if i % 2 else [w if rng.random() > 0.05 else f"e{i}{w}" for w in base]
         rows.append((i, " ".join(passage + own)))
+    monkeypatch.setattr(jaccard_join, "PARTS_AT_ONCE", 50)
     monkeypatch.setattr(jaccard_join, "WAITS_FROM", 4)
     df = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.near_duplicates(df).collect()}
