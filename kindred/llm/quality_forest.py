@@ -2,14 +2,15 @@
 
 Statistics of each whole text come first (words, code points in words, symbols, repeated lines, words in
 repeated 8-word windows, and shares of capitals, digits and punctuation).  Fixed rules reject short
-and repetitive texts.  Trees split samples of good labelled rows at random values of random
-statistics; a text that is soon alone in them is unlike these.  The threshold is the score that parts labelled
-good from bad rows best, at a stated share of good rows lost at most.
+and repetitive texts.  Trees part the box of the labelled rows at random values of random statistics, and samples
+of good rows with it; a text that is soon where few or none of these are is unlike them.  Half of the labelled rows grow
+the trees.  The threshold is the score that has the greatest difference between the share of bad rows it
+rejects and the share of good rows it loses, both counted on the other half.
 
 The forest is fitted in the driver on a bounded sample (``SAMPLE_ROWS`` labelled rows, least hashes of doc_id);
 statistics and scores cover every row.  Null and empty texts have zero words and fail the rules.
-Labels that repeat a doc_id count by the least quality; null labels are ignored.  Without good or bad labels the rules
-alone decide.  Null ids have no label.  Extra columns are ignored.
+Labels that repeat a doc_id count by the least quality; null labels are ignored.  Without good or bad labels, or with one
+good row only, the rules alone decide.  Null ids have no label.  Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -32,7 +33,6 @@ SAMPLE_ROWS = 20_000
 TREES = 200
 TREE_ROWS = 256
 DEPTH = 8
-MOST_GOOD_LOST = 0.002
 SEED = 11
 
 SYMBOLS = np.zeros(256, bool)
@@ -132,12 +132,15 @@ def measured(documents: DataFrame) -> DataFrame:
 
 
 def features(stats: dict[str, np.ndarray]) -> np.ndarray:
-    """Shares, on which the trees split."""
+    """Shares, on which the trees split.
+
+    Word length counts by its logarithm and symbols up to one a word, so that a few extreme texts do not widen the box.
+    """
     words, chars, lines = (np.maximum(stats[s], 1).astype(float) for s in ("n_words", "word_chars", "n_lines"))
     return np.stack(
         [
-            stats["word_chars"] / words,
-            stats["n_symbols"] / words,
+            np.log(chars / words),
+            np.minimum(stats["n_symbols"] / words, 1),
             stats["n_dup_lines"] / lines,
             stats["n_repeat_words"] / words,
             stats["n_upper"] / chars,
@@ -177,7 +180,12 @@ class Forest:
         return 2.0 ** (-total / max(len(self.path), 1) / max(float(_mean_path(self.rows)), 1e-9))
 
 
-def grow(x: np.ndarray, trees: int = TREES, rows: int = TREE_ROWS, seed: int = SEED) -> Forest:
+def grow(x: np.ndarray, box: np.ndarray, trees: int = TREES, rows: int = TREE_ROWS, seed: int = SEED) -> Forest:
+    """Trees of samples of ``x``; ``box`` has the least and greatest value of each column, between which they split.
+
+    Splits are drawn from the part of the box that a node covers, not from the values its rows have: what good rows never
+    have lies beside them in an empty part with a short path.
+    """
     rng = np.random.default_rng(seed)
     rows = min(rows, len(x))
     inner = 2**DEPTH - 1
@@ -185,10 +193,9 @@ def grow(x: np.ndarray, trees: int = TREES, rows: int = TREE_ROWS, seed: int = S
     paths = np.zeros((trees, 2**DEPTH))
     for t in range(trees):
         held = {0: x[rng.choice(len(x), rows, replace=False)]}
-        length = {0: 0.0}
+        length, part = {0: 0.0}, {0: box}
         for node in range(inner):
-            own, depth = held.pop(node), length.pop(node)
-            low, high = (own.min(0), own.max(0)) if len(own) else (np.zeros(1), np.zeros(1))
+            own, depth, (low, high) = held.pop(node), length.pop(node), part.pop(node)
             open_columns = np.flatnonzero(high > low)
             if len(own) > 1 and len(open_columns):
                 c = int(rng.choice(open_columns))
@@ -196,26 +203,52 @@ def grow(x: np.ndarray, trees: int = TREES, rows: int = TREE_ROWS, seed: int = S
                 columns[t, node], splits[t, node] = c, s
                 right = own[:, c] >= s
                 children, depth = (own[~right], own[right]), depth + 1
+                below, above = np.array([low, high]), np.array([low, high])
+                below[1, c] = above[0, c] = s
+                parts = (below, above)
             else:
                 children = (own, own)  # a leaf: both ways lead to the same path
+                parts = (np.array([low, high]),) * 2
             for k, child in enumerate(children):
-                held[2 * node + 1 + k], length[2 * node + 1 + k] = child, depth
+                held[2 * node + 1 + k], length[2 * node + 1 + k], part[2 * node + 1 + k] = child, depth, parts[k]
         for leaf in range(2**DEPTH):
             paths[t, leaf] = length[inner + leaf] + float(_mean_path(len(held[inner + leaf])))
     return Forest(columns, splits, paths, rows, np.inf)
 
 
-def calibrate(forest: Forest, x: np.ndarray, good: np.ndarray, most_lost: float = MOST_GOOD_LOST) -> Forest:
-    """Set the threshold that rejects the most bad rows at a bounded share of good ones, midway to the next lower score."""
+def calibrate(forest: Forest, x: np.ndarray, good: np.ndarray) -> Forest:
+    """Set the threshold with the greatest share of bad rows rejected less share of good rows lost, midway to the next lower score."""
     scores = forest.score(x)
-    own, bad = np.sort(scores[good])[::-1], scores[~good]
-    allowed = int(most_lost * len(own))
-    least = own[allowed] if allowed < len(own) else -np.inf
-    above = bad[bad > least]
-    forest.threshold = float((above.min() + least) / 2) if len(above) else np.inf
+    values = np.unique(scores)
+    own, bad = np.sort(scores[good]), np.sort(scores[~good])
+    if not len(own) or not len(bad):
+        return forest
+    lost = 1 - np.searchsorted(own, values) / len(own)
+    rejected = 1 - np.searchsorted(bad, values) / len(bad)
+    best = len(values) - 1 - int(np.argmax((rejected - lost)[::-1]))  # of equal ones the one that loses least
+    if rejected[best] > lost[best]:
+        forest.threshold = float(values[max(best - 1, 0) : best + 1].mean())
     return forest
 
 
+def halves(good: np.ndarray, seed: int = SEED) -> np.ndarray:
+    """Which rows grow the trees: every other good and bad row in a random order; the others measure."""
+    rng = np.random.default_rng(seed)
+    grows = np.zeros(len(good), bool)
+    for rows in (np.flatnonzero(good), np.flatnonzero(~good)):
+        grows[rng.permutation(rows)[::2]] = True
+    return grows
+
+
+def fitted(x: np.ndarray, good: np.ndarray) -> Forest:
+    grows = halves(good)
+    measures = ~grows
+    if (~good).sum() == 1:
+        measures = measures | ~good  # a single bad row serves for both
+    forest = grow(x[grows & good], np.array([x[grows].min(0), x[grows].max(0)]))
+    return calibrate(forest, x[measures], good[measures])
+
+
 def fit(stats: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Forest | None:
     """A forest from the bounded sample of labelled rows that the rules let pass."""
     known = (
@@ -230,8 +263,7 @@ def fit(stats: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Forest
     good = got["quality"].to_numpy() == 1
     if not good.any() or good.all():
         return None
-    x = features({s: got[s].to_numpy() for s in STATS})
-    return calibrate(grow(x[good]), x, good)
+    return fitted(features({s: got[s].to_numpy() for s in STATS}), good)
 
 
 def filtered(documents: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:

@@ -130,6 +130,31 @@ def test_quality_statistics_and_verdicts(spark):
     assert quality_forest.filtered(df.limit(0), labels).count() == 0
 
 
+def test_quality_kinds_of_bad_pages(spark):
+    """Symbol-ridden and table-like pages go, though good pages hold no symbol and some repeat lines or hold digits."""
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randrange(3, 9)))
+    rows, labels = [], []
+    for i in range(900):
+        words = [word() for _ in range(rng.randrange(40, 120))]
+        kind = i % 18
+        if kind == 0:
+            words = [w + rng.choice(("###", "$$$", "%%%")) for w in words]
+        elif kind == 1:
+            words = [x for w in words for x in (w, "|")]
+        elif kind == 2:
+            words[5:5] = [str(rng.randrange(10**6, 10**9)) for _ in range(4)]
+        text = ". ".join(" ".join(words[k : k + 8]).capitalize() for k in range(0, len(words), 8))
+        rows.append((i, text + ("\nSee also\nSee also" if kind == 3 else "")))
+        labels.append((i, int(kind > 1), 0))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    known = spark.createDataFrame([r for r in labels if r[0] % 5], "doc_id long, quality int, toxic int")
+    kept = {r.doc_id: r.kept for r in quality_forest.filtered(df, known).collect()}
+    unseen = [r for r in labels if r[0] % 5 == 0]
+    assert sum(kept[i] for i, q, _ in unseen if not q) <= 1
+    assert sum(not kept[i] for i, q, _ in unseen if q) <= 5
+
+
 def test_toxicity(spark):
     rng = random.Random(6)
     insult, group = ["moron", "idiot", "scum"], ["foos", "bars"]
