@@ -1,10 +1,11 @@
 """Line dedup by a log-template tree.
 
 A line comes to a leaf by fixed steps: its number of tokens, then its first ``DEPTH`` tokens, those with a digit
-read as ``<*>``.  Within a leaf, a token stays where at least ``CONSTANT_PERCENT`` % of the leaf's holdings
-(pairs of a document and a distinct line of it) have it at that place; other places are variable fields and
-become ``<*>``.  A line whose template keeps at least
-half of its tokens, and recurs in ``LEAST_DOCUMENTS`` documents or more, is dropped from all of them.
+read as ``<*>``.  A leaf holds any number of templates.  A line that recurs unchanged is one; the others come from lines that
+share tokens: each line proposes its places whose tokens the most documents of the leaf have there, as many as make
+``CONSTANT_PERCENT`` % of its tokens and of its tokens after the lead (more where counts are equal), and reads its other
+places as variable fields, ``<*>``.  A template is counted over all lines of the leaf that have its tokens, whatever they
+proposed.  A line that has a template found in ``LEAST_DOCUMENTS`` documents or more is dropped from all of them.
 
 Leaves in too few documents cannot hold such a template; only lines of the others are taken apart.  Counts are
 added up before they move, so a line that a third of all documents hold sends one row a task.
@@ -52,7 +53,7 @@ def _lines(documents: DataFrame, depth: int) -> DataFrame:
 def recurring_lines(
     documents: DataFrame, depth: int = DEPTH, percent: int = CONSTANT_PERCENT, least: int = LEAST_DOCUMENTS
 ) -> DataFrame:
-    """``(line, template)`` of every distinct line to drop, by the hashes of its bytes."""
+    """``(line_id, template, documents)`` of every distinct line to drop, by the hash of its bytes, once for each template it has."""
     per_line = cut(
         _lines(documents, depth).groupBy("leaf", "doc_id", F.xxhash64("line").alias("line_id")).agg(F.lit(1).alias("one")).drop("one")
     )
@@ -62,40 +63,85 @@ def recurring_lines(
     # Distinct lines of the leaves that recur, with the number of documents that hold each.
     held = per_line.join(build_side(leaves, n), "leaf").groupBy("leaf", "line_id").agg(F.count("*").alias("docs"))
     held = cut(held)
-    holdings = held.groupBy("leaf").agg(F.sum("docs").alias("holdings"))
     texts = (
         _lines(documents, depth)
         .join(build_side(leaves, n), "leaf", "left_semi")
         .groupBy("leaf", F.xxhash64("line").alias("line_id"))
         .agg(F.first("line").alias("line"))
     )
-    known = cut(texts.join(held, ["leaf", "line_id"]).select("leaf", "line_id", "docs", tokens(F.col("line")).alias("tokens")))
-    fields = known.select("leaf", "docs", F.posexplode("tokens").alias("place", "token"))
-    constant = (
-        fields.groupBy("leaf", "place", "token")
-        .agg(F.sum("docs").alias("docs"))
-        .join(holdings, "leaf")
-        .where(100 * F.col("docs") >= percent * F.col("holdings"))
-        .groupBy("leaf", "place")
-        .agg(F.collect_set("token").alias("kept"))  # at most 100 / percent tokens
-        .groupBy("leaf")
-        .agg(F.map_from_entries(F.collect_list(F.struct("place", "kept"))).alias("kept"))
+    known = cut(
+        texts.join(held, ["leaf", "line_id"])
+        .withColumn("tokens", tokens(F.col("line")))
+        .select(
+            "leaf", "line_id", "docs",
+            F.transform(F.slice("tokens", 1, depth), masked).alias("lead"),
+            F.slice("tokens", F.lit(depth + 1), F.size("tokens")).alias("tail"),
+        )
+    )
+    proposed = cut(_proposals(known, percent, least))
+    n = proposed.count()
+    # A line that has a template has its rarest token at the same place.
+    lines = known.join(build_side(proposed.select("leaf").distinct(), n), "leaf", "left_semi")
+    at = F.explode(F.concat(F.array(F.struct(F.lit(-1).alias("place"), F.lit("").alias("token"))), _places("tail")))
+    shaped = cut(
+        lines.select("leaf", "line_id", "tail", at.alias("at"))
+        .join(build_side(proposed.withColumn("at", F.col("rarest")).drop("rarest"), n), ["leaf", "at"])
+        .where(F.forall("fixed", lambda f: F.get("tail", f["place"]) == f["token"]))
+        .select("line_id", "template_id", "template")
     )
-    template = F.transform(
-        "tokens",
-        lambda token, place: F.when(F.array_contains(F.coalesce(F.element_at("kept", place), F.array().cast("array<string>")), token), token).otherwise(ANY),
-    )
-    shaped = known.join(constant, "leaf").withColumn("template", template)
-    shaped = shaped.where(2 * F.size(F.filter("template", lambda t: t == ANY)) <= F.size("template")).select(
-        "leaf", "line_id", "docs", F.array_join("template", " ").alias("template")
-    )
-    shaped = cut(shaped.withColumn("template_id", F.xxhash64("leaf", "template")))
     templates = (
         per_line.join(build_side(shaped.select("line_id", "template_id"), shaped.count()), "line_id")
         .groupBy("template_id", "doc_id").agg(F.lit(1).alias("one"))
         .groupBy("template_id").agg(F.count("*").alias("documents")).where(F.col("documents") >= least)
+    )
+    exact = known.where(F.col("docs") >= least).select("line_id", F.array_join(F.concat("lead", "tail"), " ").alias("template"), F.col("docs").alias("documents"))
+    return shaped.join(templates, "template_id").select("line_id", "template", "documents").union(exact)
+
+
+def _places(tail: str) -> Column:
+    return F.transform(tail, lambda token, place: F.struct(place.alias("place"), token.alias("token")))
+
+
+def _proposals(known: DataFrame, percent: int, least: int) -> DataFrame:
+    """Distinct ``(leaf, template_id, template, fixed, rarest)``: the tokens after the lead that stay, and the rarest of them."""
+    fields = known.select("leaf", "line_id", "lead", F.size("tail").alias("n"), "docs", F.explode(_places("tail")).alias("at"))
+    counts = cut(fields.groupBy("leaf", "at").agg(F.sum("docs").alias("n_at")).where(F.col("n_at") >= least))
+    constant_lead = F.size(F.filter("lead", lambda token: token != ANY))
+    needed = F.greatest(
+        F.ceil(F.col("n") * percent / 100), F.ceil((F.size("lead") + F.col("n")) * percent / 100) - constant_lead
+    ).cast("int")
+    common = (
+        fields.join(build_side(counts, counts.count()), ["leaf", "at"])
+        .groupBy("leaf", "line_id")
+        .agg(
+            F.first("lead").alias("lead"),
+            F.first("n").alias("n"),
+            F.sort_array(F.collect_list(F.struct("n_at", "at")), asc=False).alias("common"),
+        )
+        .withColumn("needed", needed)
+        .where(F.size("common") >= F.col("needed"))
+    )
+    enough = F.filter("common", lambda c: c["n_at"] >= F.get("common", F.col("needed") - 1)["n_at"])
+    some = common.withColumn("enough", enough).select(
+        "leaf", "lead", "n",
+        F.array_sort(F.transform("enough", lambda c: c["at"])).alias("fixed"),
+        F.element_at("enough", -1)["at"].alias("rarest"),
+    )
+    # Lines that end with the lead.
+    none = F.lit(None).cast(some.schema["rarest"].dataType)
+    bare = known.where(F.size("tail") == 0).where(100 * constant_lead >= percent * F.size("lead")).select(
+        "leaf", "lead", F.lit(0).alias("n"), F.slice(F.array(none), 1, 0).alias("fixed"),
+        F.struct(F.lit(-1).alias("place"), F.lit("").alias("token")).alias("rarest"),
+    )
+    named = F.map_from_entries("fixed")
+    rest = F.when(
+        F.col("n") > 0,
+        F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda k: F.coalesce(F.element_at(named, k), F.lit(ANY))),
+    ).otherwise(F.array().cast("array<string>"))
+    both = some.union(bare).groupBy("leaf", "fixed").agg(F.first("lead").alias("lead"), F.first("n").alias("n"), F.first("rarest").alias("rarest"))
+    return both.withColumn("template", F.array_join(F.concat("lead", rest), " ")).select(
+        "leaf", F.xxhash64("leaf", "template").alias("template_id"), "template", "fixed", "rarest"
     )
-    return shaped.join(templates, "template_id").select("line_id", "template", "documents")
 
 
 def without_recurring_lines(documents: DataFrame, **options: int) -> DataFrame:

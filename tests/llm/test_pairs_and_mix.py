@@ -1,5 +1,6 @@
 """Near duplicates, decontamination and mixing against brute force."""
 
+import itertools
 import random
 from collections import Counter, defaultdict
 
@@ -206,3 +207,42 @@ def test_line_templates(spark):
     assert got[50] == (None, 0, 0) and got[51] == ("", 1, 0)
     assert got[52] == ("", 1, 1) and got[53] == ("a line of its own", 1, 0)
     assert line_templates.without_recurring_lines(df.limit(0)).count() == 0
+
+
+def test_several_templates_of_a_leaf(spark):
+    """Against all sets of places: a line goes if it recurs, or if 8 documents agree with it on half of the tokens after its lead."""
+    rng = random.Random(5)
+    word = lambda: f"{rng.choice('abcdefgh')}{rng.choice('klmnop')}{rng.choice('aeiou')}{rng.choice('rstuvw')}"
+    notices = ["Click here to read our privacy notice now", "Click here to join the weekly mailing list", "Click here to see more posts like this"]
+    rows = []
+    for i in range(90):
+        lines = [notices[i % 3]]
+        lines += [f"Click here to {' '.join(word() for _ in range(5))}"]  # of this leaf, alike in the lead only
+        if i % 5 == 0:
+            lines += [f"Click here to reply as {word()} or {word()}"]
+        if i % 40 == 0:
+            lines += [f"Click here to read our {word()} notice now"]
+        if i % 9 == 0:
+            lines += ["Only twelve hold 7 x"[: 17 + i % 2], f"{i} {i} {i} all the same words"]
+        rows.append((i, "\n".join(lines)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.text for r in line_templates.without_recurring_lines(docs).collect()}
+    held = {}
+    for i, text in rows:
+        for line in text.split("\n"):
+            held.setdefault(line, set()).add(i)
+
+    def lead(t):
+        return [len(t), *("<*>" if any(c.isdigit() for c in x) else x for x in t[:3])]
+
+    def goes(line):
+        t = line.split()
+        near = [(o.split(), d) for o, d in held.items() if lead(o.split()) == lead(t)]
+        places = range(3, len(t))
+        least = max(-(-len(places) // 2), -(-len(t) // 2) - sum(x != "<*>" for x in lead(t)[1:]))
+        sets = itertools.combinations(places, least) if least <= len(places) else []
+        return len(held[line]) >= 8 or any(len(set().union(*(d for o, d in near if all(o[p] == t[p] for p in s)))) >= 8 for s in sets)
+
+    for i, text in rows:
+        assert got[i] == "\n".join(x for x in text.split("\n") if not goes(x))
+    assert goes(notices[0]) and not goes(rows[1][1].split("\n")[1])
