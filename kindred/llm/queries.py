@@ -105,16 +105,16 @@ def op8_host_reputation(spark, sf_dir):
 def op9_token_rollups(spark, sf_dir):
     """Totals after four batches over all documents: all inserted as words; those of fewer than 20
     words deleted; all counted anew by letters and digits as a second version, the first one revised to count
-    without words of one character; the third batch once more."""
+without words of one character; the third batch once more.  Documents without an id are only inserted."""
     path = staged_path(spark, "rollups")
-    documents = read(spark, sf_dir, "documents").where("doc_id is not null")
+    documents = read(spark, sf_dir, "documents")
     words = mixing.word_count("text")
     base = documents.select("doc_id", "source", "lang", "text", F.lit(1).alias("seq"))
     first = base.select("doc_id", "source", "lang", "seq", F.lit("words-1").alias("version"), words.alias("tokens"), F.lit("insert").alias("op"))
     pieces = F.greatest(F.size(F.split(F.concat(F.lit(" "), F.coalesce("text", F.lit("")), F.lit(" ")), "[^A-Za-z0-9]+")) - 2, F.lit(0))
     second = base.select("doc_id", "source", "lang", "seq", F.lit("pieces-1").alias("version"), pieces.alias("tokens"), F.lit("insert").alias("op"))
     short = first.where("tokens < 20").withColumn("op", F.lit("delete"))
-    revised = first.where("tokens >= 20").withColumns({"tokens": F.col("tokens") - 1, "op": F.lit("revise")})
+    revised = first.where("doc_id is not null and tokens >= 20").withColumns({"tokens": F.col("tokens") - 1, "op": F.lit("revise")})
     token_rollups.commit_batch(first, path, 1)
     token_rollups.commit_batch(short, path, 2)
     token_rollups.commit_batch(second.unionByName(revised), path, 3)

@@ -11,7 +11,8 @@ committing one again (after a lost driver, or twice by mistake) gives the same t
 Of several changes of one document and version in a batch the one with the greatest ``seq`` counts, of
 equal ones the greatest by operation and values.  Deleting what is not there has no effect; inserting what is
 there replaces it, as does revising; revising what is not there inserts it.  Null sources and languages are
-groups; null tokens count 0; rows with a null doc_id or version are refused (an error).  An empty batch is a
+groups, null versions one version; null tokens count 0.  A change without a doc_id names no document, so it can only add:
+each insert or revise counts as a document of its own, a delete has no effect.  An empty batch is a
 batch.  Extra columns are ignored.
 """
 
@@ -26,11 +27,11 @@ LEDGER = "doc_id long, version string, source string, lang string, docs long, to
 ROLLUP = "source string, lang string, version string, docs long, tokens long"
 
 
-def _final(changes: DataFrame) -> DataFrame:
-    """The change that counts of each document and version."""
+def _final(changes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The change that counts of each document and version, and all changes without a document."""
     rows = changes.select(
-        F.coalesce(F.col("doc_id").cast("long"), F.raise_error(F.lit("a change without doc_id"))).alias("doc_id"),
-        F.coalesce("version", F.raise_error(F.lit("a change without version"))).alias("version"),
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.col("version").cast("string").alias("version"),
         F.struct(
             F.col("seq").cast("long").alias("seq"),
             F.when(F.col("op").isin(*OPERATIONS), F.col("op")).otherwise(F.raise_error(F.lit("an unknown operation"))).alias("op"),
@@ -39,7 +40,8 @@ def _final(changes: DataFrame) -> DataFrame:
             F.coalesce(F.col("tokens").cast("long"), F.lit(0)).alias("tokens"),
         ).alias("change"),
     )
-    return rows.groupBy("doc_id", "version").agg(F.max("change").alias("change"))
+    named = rows.where("doc_id is not null").groupBy("doc_id", "version").agg(F.max("change").alias("change"))
+    return named, rows.where("doc_id is null")
 
 
 def _earlier(spark: SparkSession, path: str, kind: str, schema: str, batch: int | None) -> DataFrame:
@@ -54,7 +56,7 @@ def _earlier(spark: SparkSession, path: str, kind: str, schema: str, batch: int
 def commit_batch(changes: DataFrame, path: str, batch: int) -> None:
     """Apply batch number ``batch`` (1, 2, ...); the earlier ones must be there."""
     spark = changes.sparkSession
-    final = _final(changes)
+    final, unnamed = _final(changes)
     # What is left of a document is the sum of its signed rows.
     left = (
         _earlier(spark, path, "ledger", LEDGER, batch)
@@ -62,10 +64,11 @@ def commit_batch(changes: DataFrame, path: str, batch: int) -> None:
         .agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens"))
         .where("docs <> 0 or tokens <> 0")
     )
-    minus = left.join(final.select("doc_id", "version"), ["doc_id", "version"], "left_semi").select(
+    same = (left["doc_id"] == final["doc_id"]) & left["version"].eqNullSafe(final["version"])
+    minus = left.join(final, same, "left_semi").select(
         "doc_id", "version", "source", "lang", (-F.col("docs")).alias("docs"), (-F.col("tokens")).alias("tokens")
     )
-    plus = final.where("change.op <> 'delete'").select(
+    plus = final.union(unnamed).where("change.op <> 'delete'").select(
         "doc_id", "version", "change.source", "change.lang", F.lit(1).cast("long").alias("docs"), "change.tokens"
     )
     signed = minus.union(plus).groupBy("doc_id", "version", "source", "lang").agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens"))

@@ -227,3 +227,18 @@ def test_rollups(spark):
         k[:3]: (n, want[(*k[:3], "tokens")]) for k, n in want.items() if k[3] == "docs"
     }
     assert token_rollups.totals(spark, path, upto=1).count() > 0
+
+
+def test_rollups_of_null_ids_and_versions(spark, tmp_path):
+    path = staged_path(spark, "rollups")
+    schema = "doc_id long, version string, source string, lang string, tokens long, op string, seq long"
+    first = [(None, "v", "a", "en", 5, "insert", 1), (None, "v", "a", "en", 5, "insert", 1), (1, None, "a", "en", 7, "insert", 1), (1, "v", "a", "en", 9, "insert", 1)]
+    second = [(None, "v", "a", "en", 5, "delete", 1), (None, None, None, None, 3, "revise", 1), (1, None, "a", "en", 2, "revise", 1)]
+    for number, rows in ((1, first), (2, second), (2, second)):
+        token_rollups.commit_batch(spark.createDataFrame(rows, schema), path, number)
+    got = {(r.source, r.lang, r.version): (r.docs, r.tokens) for r in token_rollups.totals(spark, path).collect()}
+    assert got == {("a", "en", "v"): (3, 19), ("a", "en", None): (1, 2), (None, None, None): (1, 3)}
+    docs = [(None, "one two", "s", "en"), (None, "w " * 25, "s", "en"), (1, "w " * 30, "s", "en"), (2, "short", "s", "en")]
+    spark.createDataFrame(docs, "doc_id long, text string, source string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.version: (r.docs, r.tokens) for r in queries.op9_token_rollups(spark, str(tmp_path)).collect()}
+    assert got == {"words-1": (3, 2 + 25 + 29), "pieces-1": (4, 2 + 25 + 30 + 1)}
