@@ -143,6 +143,40 @@ WHERE 175 * common >= 75 * (ni + nv) GROUP BY doc_id, item_id
 """
 
 
+# Vectors as integers, in one row a component; a round assigns and moves.
+_OP11_ASSIGN = """
+{name}_d AS MATERIALIZED (
+  SELECT vec_id, cluster, CAST(sum((v.x - c.x) * (v.x - c.x)) AS BIGINT) AS distance
+  FROM v JOIN {before} c USING (k) GROUP BY ALL),
+{name}_a AS MATERIALIZED (
+  SELECT vec_id, cluster, distance FROM {name}_d
+  QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY distance, cluster) = 1)"""
+_OP11_MOVE = """,
+{name}_s AS (SELECT cluster, k, CAST(sum(x) AS BIGINT) AS s, count(*) AS n FROM {name}_a JOIN v USING (vec_id) GROUP BY ALL),
+{name} AS MATERIALIZED (
+  SELECT cluster, k, CAST(CASE WHEN n IS NULL THEN x ELSE (s - (((s % n) + n) % n)) // n END AS BIGINT) AS x
+  FROM {before} LEFT JOIN {name}_s USING (cluster, k))"""
+OP11 = (
+    r"""
+WITH kept AS (
+  SELECT vec_id, list_transform(embedding, lambda y: CAST(floor(256 * CAST(y AS DOUBLE)) AS BIGINT)) AS e FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda y: y IS NOT NULL AND isfinite(y) AND abs(y) < 524288)) = 64),
+v AS MATERIALIZED (SELECT vec_id, k, e[k] AS x FROM kept, (SELECT unnest(range(1, 65)) AS k)),
+f AS (SELECT vec_id, row_number() OVER (ORDER BY sha256('2:' || vec_id)) - 1 AS cluster FROM kept QUALIFY cluster < 40),
+c0 AS MATERIALIZED (SELECT cluster, k, x FROM f JOIN v USING (vec_id)),"""
+    + ",".join((_OP11_ASSIGN + _OP11_MOVE).format(name=f"c{i}", before=f"c{i - 1}") for i in range(1, 6))
+    + ","
+    + _OP11_ASSIGN.format(name="c6", before="c5")
+    + r""",
+g AS (SELECT cluster, CAST(sum(distance) AS BIGINT) AS cluster_inertia FROM c6_a GROUP BY cluster),
+h AS (SELECT cluster, sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY k)) AS centroid_sha256 FROM c5 GROUP BY cluster)
+SELECT vec_id, CAST(cluster AS INTEGER) AS cluster, distance, cluster_inertia,
+  (SELECT CAST(sum(distance) AS BIGINT) FROM c6_a) AS inertia, centroid_sha256
+FROM c6_a JOIN g USING (cluster) JOIN h USING (cluster)
+"""
+)
+
+
 def all_sql() -> dict[str, str]:
     return {
         "op1_jaccard_join": OP1,
@@ -151,4 +185,5 @@ def all_sql() -> dict[str, str]:
         "op8_host_reputation": OP8,
         "op9_token_rollups": OP9,
         "op10_decontaminate": OP10,
+        "op11_centroid_clusters": OP11,
     }

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kindred.llm import (
+    binary_packing,
+    centroid_clusters,
     decontaminate,
     host_reputation,
     jaccard_join,
@@ -17,6 +19,7 @@ from kindred.llm import (
     rans_tokens,
     token_rollups,
     toxicity_fm,
+    turn_repair,
     warc_store,
 )
 from kindred.sources.staging import staged_path
@@ -129,9 +132,34 @@ def op10_decontaminate(spark, sf_dir):
     )
 
 
+def op11_centroid_clusters(spark, sf_dir):
+    """Cluster, distance and inertia of each vector."""
+    return centroid_clusters.clusters(read(spark, sf_dir, "embeddings"))[0]
+
+
+def op12_binary_packing(spark, sf_dir):
+    """Pieces of all documents, packed and read back."""
+    path = staged_path(spark, "packed")
+    binary_packing.write_packed(read(spark, sf_dir, "documents"), path, tokenizer_path())
+    return binary_packing.read_packed(spark, path).select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
+def op13_turn_repair(spark, sf_dir):
+    """Faults, cheapest edits and digest of the repaired text of each conversation."""
+    conversations = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    report, turns = turn_repair.repaired(conversations, turn_repair.damaged(conversations))
+    digest = turn_repair.digests(turns).withColumnRenamed("conv_id", "id")
+    return report.join(digest, F.col("conv_id").eqNullSafe(F.col("id")), "left").select(
+        *report.columns, F.coalesce("sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256")
+    )
+
+
 REGISTERED: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     op1_jaccard_join, op2_source_mix, op3_line_templates, op4_warc_store, op5_quality_forest,
     op6_rans_tokens, op7_toxicity_fm, op8_host_reputation, op9_token_rollups, op10_decontaminate,
+    op11_centroid_clusters, op12_binary_packing, op13_turn_repair,
 )
 
 
