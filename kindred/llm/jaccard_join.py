@@ -11,16 +11,19 @@ shingles that a sample shows to be common, last.  The order decides the cost, no
 
 Documents that share a part meet in stars first: each is compared with the least document of
 the part, inside a task's batch and then between tasks, and with the document that has most
-links so far.  Narrow sketches (two bits an element, and 256 bits for a first look) reject most
-pairs; the rest are verified on their whole sets.  Parts whose documents are then still in
+links so far.  Narrow sketches (two bits an element, and for a first look 1,024 bits, or 4,096 too where sets
+are large) reject most pairs; the rest are verified on their whole sets.  Parts whose documents are then still in
 different components are joined between those components, the first look being part of the
-join, so that only close pairs leave it.  Parts of many documents are not joined yet: their
-documents take part in another round in which these parts come last in the order, and only in the
-last round is every part joined.  So no link between different components is lost.
+join; of parts that the same documents share, one is joined.  Parts of many documents are not joined
+yet: their documents take part in another round in which these parts come last in the order, and only
+in the last round is every part joined.  So no link between different components is lost.
+
+The first look tells unrelated sets apart that have up to about 6,000 elements; larger ones pass it, and are
+rejected by the sketch.
 
 Null, empty or blank text: an empty set, linked with nothing.  Null ids: the row is
-returned with a null component.  Rows that repeat an id are one document.  Equal sets are
-one class before the join.  Extra columns are ignored.
+returned with a null component.  Rows that repeat an id are one document, linked by any of
+its texts; each is returned.  Equal sets are one class before the join.  Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -51,13 +54,17 @@ WAITS_FROM = 24
 # Parts that wait are remembered as places of a bit map of this size; parts that meet there by chance wait too.
 PLACES = 1 << 22
 # Parts from which a task sends on the stars of the texts it holds.
-PARTS_AT_ONCE = 1 << 20
-LOOK = ("look_0", "look_1", "look_2", "look_3")
+PARTS_AT_ONCE = 1 << 18
+LOOK_BITS = 1024
+LOOK = tuple(f"look_{k}" for k in range(LOOK_BITS // 64))
+# Sets from this size on have a wide look too.
+WIDE_FROM = 1024
+WIDE_BITS = 4096
 
 PROFILE = (
     "doc_id long, n_shingles long, fp_a long, fp_b long, sketch array<long>, "
     + ", ".join(f"{c} long" for c in LOOK)
-    + ", sampled array<long>"
+    + ", wide array<long>, sampled array<long>"
 )
 
 
@@ -88,11 +95,20 @@ def _sketches(doc: np.ndarray, values: np.ndarray, sizes: np.ndarray) -> tuple[n
     return np.packbits(odd, bitorder="little").view(np.int64), before // 64
 
 
-def _looks(doc: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
-    """Parity sketches of 256 bits, one row a document."""
-    place = doc * 256 + (values & W.U64(255)).astype(np.int64)
-    odd = (np.bincount(place, minlength=256 * n) & 1).astype(np.uint8)
-    return np.packbits(odd, bitorder="little").view(np.int64).reshape(n, 4)
+def _looks(doc: np.ndarray, values: np.ndarray, n: int, bits: int = LOOK_BITS) -> np.ndarray:
+    """Parity sketches of ``bits`` bits, one row a document."""
+    place = doc * bits + (values & W.U64(bits - 1)).astype(np.int64)
+    odd = (np.bincount(place, minlength=bits * n) & 1).astype(np.uint8)
+    return np.packbits(odd, bitorder="little").view(np.int64).reshape(n, bits // 64)
+
+
+def _wide_looks(doc: np.ndarray, values: np.ndarray, sizes: np.ndarray) -> pa.ListArray:
+    """Wide looks of large sets; others have an empty one."""
+    large = sizes >= WIDE_FROM
+    own = large[doc]
+    wide = _looks((np.cumsum(large) - 1)[doc[own]], values[own], int(large.sum()), WIDE_BITS)
+    ends = np.r_[0, np.cumsum(np.where(large, WIDE_BITS // 64, 0))]
+    return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(wide.reshape(-1)))
 
 
 def profile(docs: DataFrame, width: int, one_in: int) -> DataFrame:
@@ -120,10 +136,11 @@ def profile(docs: DataFrame, width: int, one_in: int) -> DataFrame:
                         W.signed(fp[0]),
                         W.signed(fp[1]),
                         pa.ListArray.from_arrays(pa.array(before.astype(np.int32)), pa.array(sketch)),
-                        *(pa.array(np.ascontiguousarray(look[:, k])) for k in range(4)),
+                        *(pa.array(np.ascontiguousarray(look[:, k])) for k in range(len(LOOK))),
+                        _wide_looks(doc, values, sizes),
                         pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), W.signed(kept)),
                     ],
-                    names=["doc_id", "n_shingles", "fp_a", "fp_b", "sketch", *LOOK, "sampled"],
+                    names=["doc_id", "n_shingles", "fp_a", "fp_b", "sketch", *LOOK, "wide", "sampled"],
                 )
 
     return docs.mapInArrow(run, PROFILE)
@@ -285,8 +302,8 @@ def _links(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataF
     both = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("set_a")), "a").join(
         sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("set_b")), "b"
     )
-    same = F.size(F.array_intersect("set_a", "set_b"))
-    return both.where((100 + percent) * same >= percent * (F.col("n_a") + F.col("n_b"))).select("a", "b").distinct()
+    same, sizes = F.size(F.array_intersect("set_a", "set_b")), F.size("set_a") + F.size("set_b")
+    return both.where((100 + percent) * same >= percent * sizes).select("a", "b").distinct()
 
 
 def _ordered(x: str, y: str) -> list[Column]:
@@ -302,11 +319,14 @@ def near_duplicates(documents: DataFrame, width: int = WIDTH, percent: int = PER
     known = cut(profile(docs, width, one_in))
     full = known.where("n_shingles > 0 and doc_id is not null")
     classes = full.groupBy("n_shingles", "fp_a", "fp_b").agg(F.min("doc_id").alias("leader"))
-    member = cut(full.join(classes, ["n_shingles", "fp_a", "fp_b"]).select("doc_id", "leader", "n_shingles"))
-    leaders = full.join(classes.select(F.col("leader").alias("doc_id")).distinct(), "doc_id", "left_semi").select(
-        F.col("doc_id").alias("leader"), F.col("n_shingles").alias("n"), "sketch", *LOOK
+    member = cut(known.drop("sampled").join(classes, ["n_shingles", "fp_a", "fp_b"], "left"))
+    # A class's own row; an id with several texts may lead several classes.
+    leaders = cut(
+        member.where("doc_id = leader")
+        .dropDuplicates(["leader", "n_shingles", "fp_a", "fp_b"])
+        .select("leader", F.col("n_shingles").alias("n"), "sketch", *LOOK, "wide")
     )
-    renamed = member.where("doc_id <> leader").select("doc_id", "leader")
+    renamed = member.where("doc_id <> leader").groupBy("doc_id").agg(F.min("leader").alias("leader"))
     common = _common(known)
 
     def led(df: DataFrame, column: str, name: str) -> DataFrame:
@@ -314,7 +334,11 @@ def near_duplicates(documents: DataFrame, width: int = WIDTH, percent: int = PER
         to = renamed.select(F.col("doc_id").alias(column), F.col("leader").alias("_leader"))
         return df.join(to, column, "left").withColumn(name, F.coalesce("_leader", column)).drop("_leader")
 
-    tried, links = None, None
+    # Classes that an id is in by several texts are linked.
+    tried = None
+    several = member.where("doc_id is not null and leader is not null").groupBy("doc_id").agg(F.min("leader").alias("a"), F.max("leader").alias("b"))
+    several = several.where("a <> b").select("doc_id", "a")
+    links = cut(member.join(several, "doc_id").where("leader <> a").select("a", F.col("leader").alias("b")).distinct())
 
     def test(pairs: DataFrame) -> None:
         """Verify the pairs not yet tried, and add their links."""
@@ -323,7 +347,7 @@ def near_duplicates(documents: DataFrame, width: int = WIDTH, percent: int = PER
         close = cut(_close(pairs if tried is None else pairs.join(tried.select("a", "b"), ["a", "b"], "left_anti"), leaders, percent))
         new = cut(_links(close, docs, width, percent))
         tried = close if tried is None else tried.union(close)
-        links = new if links is None else links.union(new)
+        links = links.union(new)
 
     waiting, taking_part = np.zeros(0, bool), docs
     for turn in range(1, ROUNDS + 1):
@@ -353,12 +377,8 @@ def near_duplicates(documents: DataFrame, width: int = WIDTH, percent: int = PER
         taking_part = docs.join(small(ids, ids.count()), "doc_id", "left_semi")
     found = cut(_components(links))
 
-    return (
-        known.select("doc_id", "n_shingles")
-        .join(member.select("doc_id", "leader").distinct(), "doc_id", "left")
-        .join(found, "leader", "left")
-        .select("doc_id", "n_shingles", F.coalesce("component", "leader", "doc_id").alias("component_id"))
-    )
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "leader", "doc_id"))
+    return member.select("doc_id", "n_shingles", "leader").join(found, "leader", "left").select("doc_id", "n_shingles", component.alias("component_id"))
 
 
 def _common(known: DataFrame) -> np.ndarray:
@@ -377,9 +397,27 @@ def _apart(seats: DataFrame, found: DataFrame) -> DataFrame:
 
 def _across(seats: DataFrame, leaders: DataFrame, percent: int) -> DataFrame:
     """Pairs that share a part, are in different components, and look close enough."""
-    rows = seats.join(leaders.select("leader", "n", *LOOK), "leader")
+    shape = seats.groupBy("part").agg(
+        F.count("*").alias("size"),
+        F.min("leader").alias("low"),
+        F.max("leader").alias("high"),
+        F.bit_xor("leader").alias("odd"),
+        F.bit_xor(F.xxhash64("leader")).alias("h"),
+        F.bit_xor(F.xxhash64("leader", F.lit(1))).alias("g"),
+    )
+    shape = cut(shape)
+    # Two or three documents need no join.
+    middle = F.col("odd").bitwiseXOR(F.col("low")).bitwiseXOR(F.col("high"))
+    three = F.array(*(F.struct(F.col(a).alias("a"), F.col(b).alias("b")) for a, b in (("low", "high"), ("low", "mid"), ("mid", "high"))))
+    few = shape.where("size <= 3").select("low", "high", middle.alias("mid"), "size")
+    few = few.distinct().select(F.inline(F.when(F.col("size") == 3, three).otherwise(F.slice(three, 1, 1))))
+    # Of parts that the same documents share one is enough.
+    one = shape.where("size > 3").groupBy("size", "h", "g").agg(F.min("part").alias("part")).select("part")
+    rows = seats.join(one, "part", "left_semi").join(leaders.select("leader", "n", *LOOK, "wide"), "leader")
+    bound = (100 - percent) * (F.col("x.n") + F.col("y.n"))
     apart = sum((F.bit_count(F.col(f"x.{c}").bitwiseXOR(F.col(f"y.{c}"))) for c in LOOK), F.lit(0))
-    return (
+    wide = F.aggregate(F.zip_with("x.wide", "y.wide", lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda total, c: total + c)
+    joined = (
         rows.alias("x")
         .join(
             rows.alias("y"),
@@ -387,10 +425,12 @@ def _across(seats: DataFrame, leaders: DataFrame, percent: int) -> DataFrame:
             & (F.col("x.leader") < F.col("y.leader"))
             & (F.col("x.component") != F.col("y.component"))
             & (100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n"))
-            & (apart * (100 + percent) <= (100 - percent) * (F.col("x.n") + F.col("y.n"))),
+            & (apart * (100 + percent) <= bound)
+            & ((F.size("x.wide") != F.size("y.wide")) | (wide * (100 + percent) <= bound)),
         )
         .select(F.col("x.leader").alias("a"), F.col("y.leader").alias("b"))
     )
+    return few.select("a", "b").union(joined)
 
 
 def _components(links: DataFrame) -> DataFrame:

@@ -6,8 +6,8 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
-
 from kindred.llm import decontaminate, jaccard_join, line_templates, mixing
+from kindred.sources.staging import cut
 
 DOCS = "doc_id long, text string, source string, component_id int, _size string"
 
@@ -87,6 +87,27 @@ def test_near_duplicates_edges(spark):
     assert jaccard_join.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_ids_with_several_texts(spark):
+    rows = [(2, "a b c d e f"), (4, "a b c d e f"), (4, "g h i j k l m"), (7, "g h i j k l m"), (9, "x y")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r.doc_id, r.n_shingles, r.component_id) for r in jaccard_join.near_duplicates(df).collect())
+    assert got == [(2, 2, 2), (4, 2, 2), (4, 3, 2), (7, 3, 2), (9, 1, 9)]
+
+
+def test_large_texts_that_share_a_passage_leave_the_join_empty(spark, monkeypatch):
+    rng = random.Random(8)
+    passage = [f"p{i}" for i in range(900)]
+    rows = [(i, " ".join(passage + [f"d{i}x{k}" for k in range(rng.choice([250, 1400, 2000]))])) for i in range(40)]
+    met, across = [], jaccard_join._across
+    monkeypatch.setattr(jaccard_join, "_across", lambda *a: met.append(cut(across(*a))) or met[-1])
+    monkeypatch.setattr(jaccard_join, "WAITS_FROM", 4)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.near_duplicates(df).collect()}
+    assert got == components_of(rows)
+    few = len({c for _, c in got.values()})
+    assert sum(m.count() for m in met) < 2 * few
+
+
 @pytest.mark.parametrize("percent", [50, 60, 75, 90, 100])
 def test_bounds_of_the_sketch(percent):
     """Linked sizes never differ in more than the bound, and both sides look far enough."""
