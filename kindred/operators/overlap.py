@@ -2,111 +2,106 @@
 
 ``sim(a, b)`` is the number of distinct phrases a and b share, divided by the
 number of phrases of b, repeats included.  A phrase is any run of words, so a
-text of n words has n(n+1)/2 of them; none of them is ever built here.
+text of n words has n(n+1)/2 of them; none of them is ever built here, and repeats on
+both sides do not multiply (see ``kindred.operators.runs``).
 
-The count has a closed form.  For each start p in the anchor let ``M(p)`` be the
-longest run from p that occurs in the item, and ``D(p)`` the longest run from p
-that occurs earlier in the anchor itself.  The runs from p that are shared and
-not met before are those of length D(p)+1 .. M(p), so
-
-    shared = sum over p of max(0, M(p) - D(p)).
-
-Length 1 is counted from distinct words.  Longer runs are found from word pairs:
-an equal word pair at (p, q) lies on diagonal q - p, and a run of equal words is
-a gap-free stretch on one diagonal.  The rows handled are word pairs the item
-has in common with an anchor, not phrases: linear in the catalog.
+The anchors' words are counted first.  Up to the row bound they are broadcast and the catalog is read
+in one pass without a shuffle; its texts are compared where they lie.  Beyond it anchors and items are
+dealt into blocks of bounded size, and each pair of blocks is one group.
+Words are compared by 64-bit hashes, runs by 62-bit names.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
-from pyspark.sql import functions as F
-
-from kindred.functions.text import phrase_count
-from kindred.sources.staging import build_side
-
-
-def _word_pairs(words: str) -> Column:
-    """Neighbouring words joined by a blank; words hold no blank, so this is exact."""
-    w = F.col(words)
-    n = F.greatest(F.size(w) - 1, F.lit(0))
-    return F.zip_with(F.slice(w, 1, n), F.slice(w, 2, n), lambda x, y: F.concat_ws(" ", x, y))
-
-
-def _with_run_length(hits: DataFrame, keys: list[str]) -> DataFrame:
-    """Add the length of the run of equal words that starts at each hit.
-
-    ``hits`` has the keys, ``p`` and ``diagonal`` and is partitioned by the
-    keys and the diagonal.  Read from the far end, a run begins where the next pair up the
-    diagonal is absent; both windows share one sort.
-    """
-    down = Window.partitionBy(*keys, "diagonal").orderBy(F.col("p").desc())
-    above = F.lag("p").over(down)
-    is_end = F.col("_above").isNull() | (F.col("_above") != F.col("p") + 1)
-    end = F.last(F.when(is_end, F.col("p")), ignorenulls=True).over(down)
-    return (
-        hits.withColumn("_above", above)
-        .withColumn("length", end - F.col("p") + 2)
-        .drop("_above")
-    )
+from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+from pyspark.sql import DataFrame, Row, Window
+from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+
+from kindred.operators.runs import Anchors, shared
+from kindred.sources import staging
+
+# Words of the items, and of the anchors, that meet in one group beyond the bound.
+ITEM_WORDS = 2_000_000
+ANCHOR_WORDS = 100_000
+
+
+def _coded(rows: DataFrame, key: str) -> DataFrame:
+    return rows.where(F.col("tokens").isNotNull()).select(key, F.transform("tokens", lambda w: F.xxhash64(w)).alias("codes"))
+
+
+def _compared(a: Anchors, codes: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Numbers of anchor and item, shared phrases and words of the item, of pairs that share any."""
+    out = [(np.zeros(0, np.int64),) * 4]
+    for i, own in enumerate(codes):
+        count = shared(a, own)
+        at = np.flatnonzero(count)
+        out.append((at, np.full(len(at), i), count[at], np.full(len(at), len(own))))
+    return tuple(np.concatenate(c) for c in zip(*out, strict=True))
+
+
+def _counted(anchors: DataFrame, items: DataFrame) -> DataFrame:
+    """``(anchor_id, item_id, shared, n_words)`` of pairs that share a word."""
+    spark = items.sparkSession
+    a_type, i_type = anchors.schema["anchor_id"].dataType, items.schema["item_id"].dataType
+    schema = f"anchor_id {a_type.simpleString()}, item_id {i_type.simpleString()}, shared long, n_words long"
+    n_words = anchors.agg(F.coalesce(F.sum(F.size("tokens").cast("long")), F.lit(0))).first()[0]
+    if n_words > staging.BROADCAST_ROW_BOUND:
+        return _by_blocks(anchors, items, n_words, schema)
+
+    rows = _coded(anchors, "anchor_id").collect()  # at most as many words as the bound
+    ids = [r["anchor_id"].asDict(True) if isinstance(r["anchor_id"], Row) else r["anchor_id"] for r in rows]
+    id_type = to_arrow_type(a_type)
+    known = spark.sparkContext.broadcast((ids, Anchors.of([np.array(r["codes"], np.int64) for r in rows])))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, a = known.value
+        names = pa.array(names, id_type)
+        for batch in batches:
+            lists = batch.column("codes")
+            flat, ends = lists.values.to_numpy(), lists.offsets.to_numpy()
+            at, i, count, n = _compared(a, [flat[x:y] for x, y in zip(ends[:-1], ends[1:], strict=True)])
+            yield pa.RecordBatch.from_arrays(
+                [names.take(pa.array(at)), batch.column("item_id").take(pa.array(i)), pa.array(count), pa.array(n)],
+                names=["anchor_id", "item_id", "shared", "n_words"],
+            )
+
+    if not ids:
+        return spark.createDataFrame([], schema)
+    return _coded(items, "item_id").mapInArrow(run, schema)
+
+
+def _by_blocks(anchors: DataFrame, items: DataFrame, n_words: int, schema: str) -> DataFrame:
+    total = items.agg(F.coalesce(F.sum(F.size("tokens").cast("long")), F.lit(0))).first()[0]
+    i_blocks, a_blocks = (max(1, -(-n // most)) for n, most in ((total, ITEM_WORDS), (n_words, ANCHOR_WORDS)))
+
+    def every(blocks: int):
+        return F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+
+    left = _coded(anchors, "anchor_id").withColumn("_a", F.pmod(F.xxhash64("anchor_id"), F.lit(a_blocks)).cast("int")).withColumn("_i", every(i_blocks))
+    right = _coded(items, "item_id").withColumn("_i", F.pmod(F.xxhash64("item_id"), F.lit(i_blocks)).cast("int")).withColumn("_a", every(a_blocks))
+
+    def meet(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
+        a = Anchors.of([np.asarray(c, np.int64) for c in x["codes"]])
+        at, i, count, n = _compared(a, [np.asarray(c, np.int64) for c in y["codes"]])
+        return pd.DataFrame(
+            {"anchor_id": x["anchor_id"].to_numpy()[at], "item_id": y["item_id"].to_numpy()[i], "shared": count, "n_words": n}
+        )
 
-def _anchor_pairs(anchors: DataFrame) -> DataFrame:
-    """(anchor_id, p, pair, seen): word pairs with the longest earlier run."""
-    pairs = anchors.select("anchor_id", F.posexplode(_word_pairs("tokens")).alias("p", "pair"))
-    earlier = pairs.select("anchor_id", "pair", F.col("p").alias("_before"))
-    repeats = (
-        pairs.join(earlier, ["anchor_id", "pair"])
-        .where(F.col("_before") < F.col("p"))
-        .select("anchor_id", "p", (F.col("p") - F.col("_before")).alias("diagonal"))
-        .repartition("anchor_id", "diagonal")
-    )
-    seen = _with_run_length(repeats, ["anchor_id"]).groupBy("anchor_id", "p").agg(F.max("length").alias("seen"))
-    return pairs.join(seen, ["anchor_id", "p"], "left").select(
-        "anchor_id", "p", "pair", F.coalesce("seen", F.lit(1)).alias("seen")
-    )
+    return left.groupBy("_a", "_i").cogroup(right.groupBy("_a", "_i")).applyInPandas(meet, schema)
 
 
 def shared_phrases(anchors: DataFrame, items: DataFrame) -> DataFrame:
     """Distinct phrases shared by each anchor and item that share a word.
 
     ``anchors(anchor_id, tokens)``, ``items(item_id, tokens)`` ->
-    ``(anchor_id, item_id, shared)``.  The anchors' words are counted first: up
-    to the row bound they are broadcast, beyond it both sides shuffle on the word
-    and adaptive execution splits the hot words.
+    ``(anchor_id, item_id, shared)``; ids are distinct on each side.
     """
-    keys = ["item_id", "anchor_id"]
-    n_words = anchors.agg(F.coalesce(F.sum(F.size("tokens")), F.lit(0))).first()[0]
-
-    anchor_words = anchors.select("anchor_id", F.explode(F.array_distinct("tokens")).alias("word"))
-    single = (
-        items.select("item_id", F.explode(F.array_distinct("tokens")).alias("word"))
-        .join(build_side(anchor_words, n_words), "word")
-        .groupBy(*keys)
-        .agg(F.count("*").alias("shared"))
-    )
-
-    item_pairs = items.select("item_id", F.posexplode(_word_pairs("tokens")).alias("q", "pair"))
-    hits = (
-        item_pairs.join(build_side(_anchor_pairs(anchors), n_words), "pair")
-        .select(*keys, "p", (F.col("q") - F.col("p")).alias("diagonal"), "seen")
-        .repartition(*keys, "diagonal")
-    )
-    # Dealt by diagonal, so that a text that repeats itself does not fill one task; the best
-    # length of each start is aggregated before the next exchange.
-    longer = (
-        _with_run_length(hits, keys)
-        .groupBy(*keys, "p")
-        .agg(F.max("length").alias("length"), F.max("seen").alias("seen"))
-        .groupBy(*keys)
-        .agg(F.sum(F.greatest(F.col("length") - F.col("seen"), F.lit(0))).alias("shared"))
-    )
-
-    return (
-        single.unionByName(longer)
-        .groupBy("anchor_id", "item_id")
-        .agg(F.sum("shared").cast("long").alias("shared"))
-    )
+    return _counted(anchors, items).drop("n_words")
 
 
 def similarity(anchors: DataFrame, items: DataFrame, top: int | None = None) -> DataFrame:
@@ -115,14 +110,9 @@ def similarity(anchors: DataFrame, items: DataFrame, top: int | None = None) ->
     Pairs without a common word have similarity 0 and are not listed.  ``top`` keeps that many
     items of each anchor, ties to the least id; by default all are listed.
     """
-    sizes = items.select("item_id", phrase_count("tokens").alias("n_phrases"))
-    pairs = (
-        shared_phrases(anchors, items)
-        .join(sizes, "item_id")
-        .select(
-            "anchor_id", "item_id", "shared", "n_phrases",
-            (F.col("shared") / F.col("n_phrases")).alias("sim"),
-        )
+    n = F.col("n_words")
+    pairs = _counted(anchors, items).withColumn("n_phrases", (n * (n + 1) / 2).cast("long")).select(
+        "anchor_id", "item_id", "shared", "n_phrases", (F.col("shared") / F.col("n_phrases")).alias("sim")
     )
     if top is None:
         return pairs

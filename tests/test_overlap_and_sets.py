@@ -1,11 +1,14 @@
 """Overlap, item sets and rules against plain restatements."""
 
 import random
+import time
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from kindred.functions.text import tokens
+from kindred.operators import runs
 from kindred.operators.candidates import candidates
 from kindred.operators.decks import greedy_set
 from kindred.operators.overlap import shared_phrases, similarity
@@ -62,6 +65,36 @@ def test_overlap_of_one_word_texts(spark):
     assert got == {(1, 1): 1200, (1, 2): 700, (2, 1): 700, (2, 2): 700}
 
 
+def test_repeats_do_not_multiply(spark):
+    """5,000 words of one, of two, and a passage ten times over: closed values, in seconds."""
+    passage = [str(i) for i in range(499)] + ["."]
+    texts = {1: ["a"] * 5000, 2: ["a", "b"] * 2500, 3: passage * 10}
+    items = words_frame(spark, texts)
+    begin = time.perf_counter()
+    got = {(r.anchor_id, r.item_id): r.shared for r in shared_phrases(items.withColumnRenamed("item_id", "anchor_id"), items).collect()}
+    assert time.perf_counter() - begin < 20
+    # Of period d, a text of n words has d phrases of each length up to n - d + 1, then one less for each word more.
+    of_period = {d: sum(min(d, 5000 - length + 1) for length in range(1, 5001)) for d in (1, 2, 500)}
+    assert got == {(1, 1): of_period[1], (2, 2): of_period[2], (3, 3): of_period[500], (1, 2): 1, (2, 1): 1}
+
+
+def test_runs_equal_brute_force():
+    rng = random.Random(3)
+
+    def made():
+        return [rng.choice(letters) for _ in range(rng.randint(0, rng.choice([3, 12, 40])))]
+
+    def code(words):
+        return np.array([ord(w) << 33 | ord(w) for w in words], np.int64)
+
+    for _ in range(300):
+        letters = rng.choice(["a", "ab", "abc", "abcdefghij"])
+        base = made()
+        texts = [made() + rng.choice([[], base, base * 2, base * 3]) + made() for _ in range(4)]
+        got = runs.shared(runs.Anchors.of([code(t) for t in texts[:3]]), code(texts[3])).tolist()
+        assert got == [len(phrase_set(t) & phrase_set(texts[3])) for t in texts[:3]]
+
+
 def test_overlap_beyond_the_broadcast_bound(spark, monkeypatch):
     from kindred.sources import staging
 
