@@ -15,12 +15,17 @@ from itertools import accumulate
 from operator import or_
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from kindred.sources.staging import cut
+
 BUCKETS = 256
 # Rows of a wanted bucket up to which it is not divided further.
 ROWS_AT_ONCE = 1_000_000
+# The least normal double, and the places at which a 64-bit key is cut into digits of 13 bits (the first of 12).
+LEAST_NORMAL = 2.0**-1022
+DIGITS = (52, 39, 26, 13, 0)
 
 
 Positions = Sequence[int] | Callable[[int], Sequence[int]]
@@ -97,11 +102,69 @@ def _bucketed(numbers: DataFrame) -> DataFrame:
     return Bucketizer(splits=edges, inputCol="_key", outputCol="_bucket").transform(numbers)
 
 
+def order_key(number: Column) -> Column:
+    """A long in the order of the doubles: sign, then exponent and fraction as the format has them."""
+    size = F.abs(number)
+    guess = F.floor(F.log2(F.when(size >= LEAST_NORMAL, size).otherwise(1.0)))
+    share = size / F.pow(F.lit(2.0), guess)  # the logarithm may be one off
+    power = guess + F.when(share >= 2, 1).when(share < 1, -1).otherwise(0)
+    fraction = ((size / F.pow(F.lit(2.0), power) - 1) * float(1 << 52)).cast("long")
+    normal = (power + 1023).cast("long") * F.lit(1 << 52) + fraction
+    infinite = F.lit(2047 << 52)
+    far = F.isnan(number) | (size == float("inf"))
+    # Divided twice: the least double has no finite inverse.
+    tiny = F.when(size < LEAST_NORMAL, size / F.lit(2.0**-537) / F.lit(2.0**-537)).cast("long")
+    key = F.when(far, infinite + F.isnan(number).cast("long")).when(size < LEAST_NORMAL, tiny).otherwise(
+        F.when(~far & (size >= LEAST_NORMAL), normal)
+    )
+    return F.when(~F.isnan(number) & (number < 0), -key).otherwise(key)
+
+
+def grouped_values_at(df: DataFrame, groups: Sequence[str], column: str, positions: Callable[[Column], Column]) -> DataFrame:
+    """``(*groups, place, value)``: a group's values at sorted positions (from 0) of a number column.
+
+    ``positions`` turns the number of a group's values into an array of positions; ``place`` counts in it.
+    Equal values are counted first.  Where many different values are left, the order-preserving
+    key is descended digit by digit: at each digit only the buckets that hold a wanted position are
+    divided, and a bucket has at most ``2**13`` parts, whatever the values are.
+    """
+    value = F.col(column).cast("double")
+    counted = cut(df.where(value.isNotNull()).groupBy(*groups, (value + F.lit(0.0)).alias("value")).agg(F.count("*").alias("n")))
+    large = counted.count() > ROWS_AT_ONCE
+    counted = counted.withColumn("key", order_key(F.col("value")))
+    if large:
+        counted = cut(counted)
+    sizes = counted.groupBy(*groups).agg(F.sum("n").alias("size"))
+    targets = sizes.select(*groups, F.lit(0).cast("long").alias("above"), F.posexplode(positions(F.col("size"))).alias("place", "offset"))
+    above = F.lit(0).cast("long")
+    for shift in DIGITS if large else DIGITS[-1:]:
+        if shift != DIGITS[0]:
+            targets = cut(targets)
+        parts = counted.select(*groups, above.alias("above"), F.shiftright("key", shift).alias("part"), "n")
+        if large and shift != DIGITS[0]:
+            parts = parts.join(targets.select(*groups, "above").distinct(), [*groups, "above"], "left_semi")
+        parts = parts.groupBy(*groups, "above", "part").agg(F.sum("n").alias("n"))
+        upto = Window.partitionBy(*groups, "above").orderBy("part")
+        parts = parts.withColumn("end", F.sum("n").over(upto))
+        targets = (
+            targets.join(parts, [*groups, "above"])
+            .where((F.col("offset") < F.col("end")) & (F.col("offset") >= F.col("end") - F.col("n")))
+            .select(*groups, "place", (F.col("offset") - F.col("end") + F.col("n")).alias("offset"), F.col("part").alias("above"))
+        )
+        above = F.shiftright("key", shift)
+    return targets.withColumnRenamed("above", "key").join(counted, [*groups, "key"]).select(*groups, "place", "value")
+
+
 def numeric_values_at(df: DataFrame, column: str, positions: Positions) -> list[float]:
-    """``values_at`` for a number column; buckets follow approximate quantiles."""
-    numbers = df.select(F.col(column).cast("double").alias("_key")).where(F.col("_key").isNotNull())
-    bucketed = _bucketed(numbers)
-    return values_at(bucketed, "_key", "_bucket", positions)
+    """Values of a number column at sorted positions; one value a position reaches the driver."""
+    wanted = list(positions) if not callable(positions) else positions(df.where(F.col(column).isNotNull()).count())
+    if not wanted:
+        return []
+    array = F.array(*(F.lit(p).cast("long") for p in wanted))
+    found = {r["place"]: r["value"] for r in grouped_values_at(df, [], column, lambda _: array).collect()}
+    if len(found) < len(wanted):
+        raise ValueError("positions must lie in the rows that have a value")
+    return [found[i] for i in range(len(wanted))]
 
 
 def digest_values_at(df: DataFrame, key: str, positions: Positions, digits: int = 3) -> list[str]:

@@ -1,6 +1,7 @@
 """Order statistics, rank clusters, regression, features and clustering."""
 
 import random
+import struct
 
 import numpy as np
 import pytest
@@ -25,6 +26,33 @@ def test_values_at_equals_the_sorted_list(spark):
     assert order_stats.with_position(unique, "v", "p").where("p <> v").isEmpty()
 
 
+def test_order_key_keeps_the_order_of_doubles(spark):
+    rng = random.Random(6)
+    tiny = 5e-324
+    values = [0.0, -0.0, tiny, -tiny, 2.0**-1022, -(2.0**-1022), 2.0**-1022 - tiny, 1.0, 1 - 2**-53, 1 + 2**-52, 1.7976931348623157e308, float("inf"), -float("inf")]
+    values += [struct.unpack("<d", rng.randbytes(8))[0] for _ in range(3000)] + [2.0**k for k in range(-1074, 1024)] + [-(2.0**k) * (1 - 2**-53) for k in range(-1000, 1024)]
+    values = [v for v in values if v == v]
+    rows = spark.createDataFrame([(v,) for v in values], "v double").select("v", order_stats.order_key(F.col("v")).alias("k")).collect()
+    # The format's own bits, sign taken apart, are that order.
+    assert all(r.k == (1 if r.v > 0 else -1) * (struct.unpack("<q", struct.pack("<d", abs(r.v)))[0]) for r in rows)
+    far = spark.createDataFrame([(float("nan"),), (float("inf"),)], "v double").select(order_stats.order_key(F.col("v")).alias("k")).collect()
+    assert far[0].k == far[1].k + 1
+
+
+def test_numbers_are_found_digit_by_digit(spark, monkeypatch):
+    """A million rows whose leading digits agree, in groups, with the bound on rows lowered."""
+    monkeypatch.setattr(order_stats, "ROWS_AT_ONCE", 100)
+    rows = spark.range(1_000_000).select(
+        (F.col("id") % 3).alias("g"), (F.lit(5.0) + F.pmod(F.xxhash64("id"), F.lit(10_007)) / 2.0**40 - F.when(F.col("id") % 97 == 0, 11.0).otherwise(0.0)).alias("x")
+    )
+    spots = [0, 1, 4_000, 100_000, 333_332]
+    got = {(r.g, r.place): r.value for r in order_stats.grouped_values_at(rows, ["g"], "x", lambda n: F.array(*(F.lit(p).cast("long") for p in spots))).collect()}
+    for g in range(3):
+        own = sorted(r.x for r in rows.where(F.col("g") == g).select("x").collect())
+        assert [got[g, i] for i in range(len(spots))] == [own[p] for p in spots]
+    assert order_stats.numeric_values_at(rows, "x", [0, 999_999]) == [rows.agg(F.min("x")).first()[0], rows.agg(F.max("x")).first()[0]]
+
+
 def test_digests_are_found_through_finer_buckets(spark, monkeypatch):
     monkeypatch.setattr(order_stats, "ROWS_AT_ONCE", 3)
     rng = random.Random(6)

@@ -13,7 +13,7 @@ from kindred.operators.candidates import candidates
 from kindred.operators.decks import greedy_set
 from kindred.operators.overlap import shared_phrases, similarity
 from kindred.operators.rules import top_rules, triple_rules, triple_rules_mean
-from kindred.plans.related import anchor_set, related_items
+from kindred.plans.related import anchor_set, anchor_sets, related_items
 from kindred.plans.upcoming import upcoming_recommendations
 
 
@@ -234,6 +234,23 @@ def test_jobs_end_to_end(spark):
     assert upcoming_recommendations(items, coming, related, "nobody").count() == 0
 
 
+def test_many_anchors_equal_one_at_a_time(spark):
+    rng = random.Random(12)
+    words = [f"w{i}" for i in range(9)]
+    kinds = [None, [], ["a"], ["b"], ["a", "b"], ["b", "a", "a"], [""], ["a", None]][:7]
+    rows = [(i, i, f"n{i}", " ".join(rng.choice(words) for _ in range(rng.randint(1, 8))), rng.choice(kinds), rng.choice([None, float(rng.randint(1, 60))])) for i in range(160)]
+    items = spark.createDataFrame(rows, "item_id long, ord long, name string, text string, labels array<string>, rank double")
+    asked = [3, 17, 44, 90, 9999]
+    many = anchor_sets(items, spark.createDataFrame([(a,) for a in asked], "anchor_id long"), clusters=4)
+    got = {(r.anchor_id, r.deck_pos): (r.item_id, r.sim) for r in many.collect()}
+    want = {}
+    for a in asked[:-1]:
+        want |= {(a, r.deck_pos): (r.item_id, r.sim) for r in anchor_set(items, f"n{a}", clusters=4).collect()}
+    assert got == want and len({a for a, _ in got}) == 4
+    found = related_items(many, items).collect()
+    assert {(r.anchor_id, r.item_id) for r in found} == {(a, i) for (a, _), (i, _) in want.items() if i != a}
+
+
 def test_unknown_anchor_and_few_items(spark):
     rows = [(i, i, f"n{i}", t, [], float(i)) for i, t in enumerate(["a b", "a", "b c"])]
     items = spark.createDataFrame(

@@ -243,6 +243,67 @@ FROM (SELECT *, unnest(range(1, len(t) - i + 2)) AS k FROM (SELECT *, unnest(ran
 GROUP BY ALL"""
 
 
+# Many anchors: every step partitioned by the anchor.
+_MANY_WALK = """
+{o}_rn AS (SELECT *, row_number() OVER (PARTITION BY anchor_id, cluster_pos ORDER BY sim DESC, ord) AS rn FROM {i}),
+{o}_exit AS (SELECT *, max(rn) FILTER (is_last) OVER (PARTITION BY anchor_id, cluster_pos) AS last_rn FROM {o}_rn),
+{o} AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY cluster_pos, rn) AS step FROM {o}_exit WHERE last_rn IS NULL OR rn <= last_rn)
+  WHERE step <= {n})"""
+MANY = (
+    """
+WITH items AS (
+  SELECT p_partkey AS item_id, p_partkey AS ord, p_retailprice AS rank, p_brand AS setCode,
+         CASE WHEN p_size % 2 = 0 THEN [p_type, 'EVEN'] ELSE [p_type] END AS labels,
+         string_split(translate(lower(p_name || ' ' || p_brand || ' ' || p_type), ',.:', ''), ' ') AS t
+  FROM part),
+words AS (
+  SELECT item_id, len(t) * (len(t) + 1) // 2 AS n,
+         list_distinct(flatten(list_transform(range(1, len(t) + 1), lambda i: list_transform(range(i, len(t) + 1), lambda j: array_to_string(t[i:j], ' '))))) AS ph
+  FROM items),
+anchors AS (SELECT min(item_id) AS anchor_id FROM items GROUP BY setCode),
+legal AS (
+  SELECT anchor_id, i.item_id, i.ord, i.rank
+  FROM anchors JOIN items x ON x.item_id = anchor_id
+  JOIN items i ON len(list_filter(i.labels, lambda l: NOT list_contains(x.labels, l))) = 0),
+sorted_ranks AS (
+  SELECT anchor_id, rank, row_number() OVER (PARTITION BY anchor_id ORDER BY rank) - 1 AS i, count(*) OVER (PARTITION BY anchor_id) AS n FROM legal),
+edges AS (
+  SELECT anchor_id, b.b, max(rank) FILTER (i = b.b * n // 6) AS lo, max(rank) FILTER (i = (b.b + 1) * n // 6 - 1) AS hi
+  FROM sorted_ranks, (SELECT unnest(range(0, 6)) AS b) b GROUP BY ALL),
+seeds AS (SELECT anchor_id, b, floor((lo + hi) / 2) AS s FROM edges),
+nearest AS (
+  SELECT anchor_id, item_id, ord, rank, b FROM legal m JOIN seeds USING (anchor_id)
+  QUALIFY row_number() OVER (PARTITION BY anchor_id, item_id ORDER BY abs(rank - s), b) = 1),
+centroids AS (
+  SELECT anchor_id, b, row_number() OVER (PARTITION BY anchor_id ORDER BY centroid, b) - 1 AS cluster_pos
+  FROM (SELECT anchor_id, b, avg(rank) AS centroid FROM nearest GROUP BY ALL)),
+pool AS (
+  SELECT anchor_id, item_id, ord, rank, cluster_pos, n, ph, ord = max(ord) OVER (PARTITION BY anchor_id, cluster_pos) AS is_last
+  FROM nearest JOIN centroids USING (anchor_id, b) JOIN words USING (item_id)),
+s1 AS (
+  SELECT p.*, len(list_intersect(a.ph, p.ph)) / p.n AS sim FROM pool p JOIN words a ON a.item_id = anchor_id WHERE p.item_id <> anchor_id),"""
+    + _MANY_WALK.format(o="one", i="s1", n=49)
+    + """,
+turn AS (
+  SELECT anchor_id, max(item_id) FILTER (step = 1) AS scorer, max(cluster_pos + CAST(is_last AS INTEGER)) FILTER (step = 49) AS start
+  FROM one GROUP BY anchor_id),
+s2 AS (
+  SELECT p.*, len(list_intersect(a.ph, p.ph)) / p.n AS sim
+  FROM pool p JOIN turn USING (anchor_id) JOIN words a ON a.item_id = scorer
+  WHERE p.item_id <> anchor_id AND cluster_pos >= start AND NOT EXISTS (SELECT 1 FROM one o WHERE o.anchor_id = p.anchor_id AND o.item_id = p.item_id)),"""
+    + _MANY_WALK.format(o="two", i="s2", n=13)
+    + """,
+decks AS (
+  SELECT anchor_id, item_id, step AS deck_pos, rank, sim FROM one
+  UNION ALL SELECT anchor_id, item_id, step + 49, rank, sim FROM two)
+SELECT anchor_id, item_id, deck_pos, d.rank, setCode, round(sim, 9) AS sim_score
+FROM decks d JOIN items USING (item_id) WHERE NOT contains(setCode, 'Brand#2')
+"""
+)
+
+
+
 def all_sql() -> dict[str, str]:
     sql: dict[str, str] = {}
 
@@ -351,6 +412,7 @@ FROM per a JOIN per b ON b.cluster_pos = a.cluster_pos + 1"""
     sql["cluster_counts"] = f"WITH {DOCUMENTS}, {LEGAL}, {clusters('legal')} SELECT cluster_pos, count(*) AS n FROM clustered GROUP BY 1"
 
     # item sets, rules, recommendations
+    sql["related_items_many"] = MANY
     sql["greedy_set"] = f"WITH {DECK} SELECT 1 AS anchor_id, deck_pos, scorer_id, item_id, sim, rank FROM rel_deck"
     sql["triple_rules"] = f"WITH {triples('best')} SELECT * FROM triples"
     sql["triple_rules_last"] = f"WITH {triples('last')} SELECT * FROM triples"

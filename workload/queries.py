@@ -379,6 +379,23 @@ def related_items(spark, sf_dir):
     return found.select("item_id", "name", "text", "rank", "setCode", "sim_score")
 
 
+def related_items_many(spark, sf_dir):
+    """Related parts of the first part of every brand, in one run."""
+    labels = F.concat_ws(", ", "p_type", F.when(F.col("p_size") % 2 == 0, "EVEN"))
+    items = table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("item_id"),
+        F.col("p_partkey").alias("ord"),
+        F.concat_ws(MARK, "p_name", "p_brand", "p_type").alias("text"),
+        label_set(labels).alias("labels"),
+        F.col("p_retailprice").alias("rank"),
+        F.col("p_brand").alias("setCode"),
+    )
+    anchors = items.groupBy("setCode").agg(F.min("item_id").alias("anchor_id"))
+    current, _ = clean.split_cohorts(items, "Brand#2")
+    found = related.related_items(related.anchor_sets(items, anchors), current)
+    return found.select("anchor_id", "item_id", "deck_pos", "rank", "setCode", F.round("sim_score", 9).alias("sim_score"))
+
+
 def related_names(spark, sf_dir):
     return upcoming.names(_related(spark, sf_dir)[0])
 
@@ -584,7 +601,7 @@ REGISTERED: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     phrase_list, last_paragraph_phrases, phrase_overlap, candidates,
     bucket_edges, rank_kmeans, cluster_sse, cluster_boundary, cluster_counts,
     greedy_set, triple_rules, triple_rules_last, triple_rules_mean, triple_rules_mean_last, top_rules,
-    related_items, related_names, upcoming_recs, recommendation_lookup,
+    related_items, related_items_many, related_names, upcoming_recs, recommendation_lookup,
     standardise, dbscan, dbscan_points, dbscan_sizes, kmeans, kmeans_fixpoint, ward,
     silhouette, silhouette_squared, cluster_scores,
     linreg, training_mse, kfold_mse, train_test_split, synthetic_score, random_draws,
