@@ -177,6 +177,72 @@ FROM c6_a JOIN g USING (cluster) JOIN h USING (cluster)
 )
 
 
+def _least(*ways: str) -> str:
+    return f"list_sort([{', '.join(ways)}])[1]"
+
+
+def _way(state: str, cost: str, letter: str, turn: str | None = None) -> str:
+    text = f"{state}.t" if turn is None else f"{state}.t || chr(10) || {turn}"
+    return f"{{'c': {state}.c + {cost}, 'x': {state}.x || '{letter}', 't': {text}}}"
+
+
+def _kept(state: str, initial: str) -> str:
+    return _way(state, f"CASE WHEN r.i = '{initial}' THEN r.k ELSE 1000000000 END", "K", "r.role || ':' || r.text")
+
+
+def _rerole(state: str, role: str) -> str:
+    return _way(state, "r.k + 1", "R", f"'{role}:' || r.text")
+
+
+# A step of the fold: each state (e nothing, s system, u user, a assistant) holds its least (cost, audit, text).
+_OP13_ROW = (
+    "{'e': " + _way("z.e", "2", "D")
+    + ", 's': " + _least(_way("z.s", "2", "D"), _kept("z.e", "s"))
+    + ", 'u': " + _least(_way("z.u", "2", "D"), *(f(f"z.{q}", v) for q in "esa" for f, v in ((_kept, "u"), (_rerole, "user"))))
+    + ", 'a': " + _least(_way("z.a", "2", "D"), _kept("z.u", "a"), _rerole("z.u", "assistant")) + "}"
+)
+_OP13_USER = "{'e': z.e, 's': z.s, 'u': " + _least("z.u", *(_way(f"z.{q}", "5", "I", "'user:'") for q in "esa")) + ", 'a': z.a}"
+_OP13_BOTH = "{'e': z.e, 's': z.s, 'u': z.u, 'a': " + _least("z.a", _way("z.u", "5", "I", "'assistant:'")) + "}"
+_NONE = "{'c': CAST(4000000000 AS BIGINT), 'x': '', 't': ''}"
+OP13 = (
+    r"""
+WITH raw AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS key FROM conversations),
+crc AS (
+  SELECT *, xor(list_reduce(list_transform(string_split(key, ''), lambda y: CAST(ascii(y) AS BIGINT)),
+      lambda c, b: list_reduce(range(0, 8), lambda v, n: xor(v >> 1, (v & 1) * 3988292384), xor(c, b)), CAST(4294967295 AS BIGINT)), 4294967295) % 20 AS f
+  FROM raw),
+dmg AS (
+  SELECT conv_id, turn, role AS role0, sha256(text) AS text0, CASE WHEN f = 4 THEN 'user' ELSE role END AS role,
+    CASE WHEN f = 1 THEN '' WHEN f = 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+    unnest(CASE WHEN f = 3 THEN [0, 1] ELSE [0] END) AS copy
+  FROM crc WHERE f <> 0),
+pos AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role0, text0, copy) AS n, left(role, 1) AS i,
+    rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS solid FROM dmg),
+flt AS (
+  SELECT *, CASE WHEN solid = '' THEN 'b' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY n) > 1 THEN 'd'
+    WHEN right(solid, 1) NOT IN ('.', '!', '?') THEN 't' ELSE '' END AS fault,
+    lag(i) OVER (PARTITION BY conv_id ORDER BY n) || i AS pair FROM pos),
+conv AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'b') AS blank,
+    count(*) FILTER (fault = 'd') AS duplicate, count(*) FILTER (fault = 't') AS truncated,
+    count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal,
+    list({'i': i, 'role': role, 'text': text, 'k': CAST(CASE fault WHEN 't' THEN 5 WHEN '' THEN 0 ELSE 1000000000 END AS BIGINT)} ORDER BY n) AS rs
+  FROM flt GROUP BY conv_id),
+folded AS (
+  SELECT *, list_reduce(rs, lambda z0, r: list_transform([list_transform([list_transform([z0], lambda z: """
+    + _OP13_ROW + ")[1]], lambda z: " + _OP13_USER + ")[1]], lambda z: " + _OP13_BOTH + ")[1], {'e': {'c': CAST(0 AS BIGINT), 'x': '', 't': ''}, 's': " + _NONE
+    + ", 'u': {'c': CAST(5 AS BIGINT), 'x': 'I', 't': chr(10) || 'user:'}, 'a': {'c': CAST(10 AS BIGINT), 'x': 'II', 't': chr(10) || 'user:' || chr(10) || 'assistant:'}}) AS z FROM conv),"
+    + r"""
+best AS (SELECT *, list_sort([z.e, z.a])[1] AS w FROM folded)
+SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+  coalesce(illegal, 0) AS illegal, coalesce(w.c, 0) AS cost, coalesce(w.x, '') AS audit, sha256(coalesce(substr(w.t, 2), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN best b ON o.conv_id IS NOT DISTINCT FROM b.conv_id
+"""
+)
+
+
 def all_sql() -> dict[str, str]:
     return {
         "op1_jaccard_join": OP1,
@@ -186,4 +252,5 @@ def all_sql() -> dict[str, str]:
         "op9_token_rollups": OP9,
         "op10_decontaminate": OP10,
         "op11_centroid_clusters": OP11,
+        "op13_turn_repair": OP13,
     }

@@ -5,13 +5,17 @@ import math
 import random
 import zlib
 
+import duckdb
 import numpy as np
+import pandas as pd
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from kindred.llm import binary_packing as BP
 from kindred.llm import centroid_clusters as CC
 from kindred.llm import queries as Q
 from kindred.llm import turn_repair as TR
+from kindred.llm.oracles import OP13
 from kindred.sources.staging import staged_path
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -230,6 +234,15 @@ def test_repair_matches_plain_search(spark, blocks):
     assert {c: (got[c], want[c]) for c in got if got[c] != want[c]} == {}
 
 
+def test_sql_twin_of_the_repair_matches_plain_search():
+    rows = made_conversations(seed=11)
+    frame = pd.DataFrame(rows, columns=["conv_id", "turn", "role", "text"]).astype({"conv_id": "Int64", "turn": "Int64"})
+    con = duckdb.connect()
+    con.register("conversations", pa.Table.from_pandas(frame, preserve_index=False))
+    got = {r[0]: tuple(r[1:]) for r in con.execute(OP13).fetchall()}
+    assert got == {c: plain_repair(plain_damage(own)) for c, own in by_conversation(rows).items()}
+
+
 def test_repair_without_rows(spark):
     empty = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
     report, turns = TR.repaired(empty, TR.damaged(empty))
