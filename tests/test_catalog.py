@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from kindred.functions.labels import feature_labels, label_set
 from kindred.operators import clean, labelsets, lookup, profile
+from kindred.plans.extract import extract_to_csv
 from kindred.sources import dictionary, tables
 from kindred.sources.jdbc import jdbc_options
 from kindred.streaming.rows import clean_arrivals, predict_arrivals
@@ -180,3 +181,11 @@ def test_row_operators_run_on_a_stream(spark, tmp_path):
     query.awaitTermination(60)
     rows = spark.table("arrivals").collect()
     assert [(r.tokens, r.labels, r.prediction) for r in rows] == [(["a", "b"], ["W", "U"], 7.0)]
+
+
+def test_extract_that_cannot_read_says_so(spark, tmp_path, caplog):
+    """No driver takes the address: nothing is connected to, nothing is written."""
+    target = tmp_path / "out"
+    assert extract_to_csv(spark, "jdbc:unknown:nowhere", "cards", str(target)) is False
+    assert not target.exists()
+    assert "extract of cards failed" in caplog.text
