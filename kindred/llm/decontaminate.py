@@ -9,7 +9,8 @@ Only windows that hold enough of an item's shingles can be that similar, so wind
 places where a document repeats one: sliding a window to the first repeated shingle in it never
 lowers the similarity.  Windows and items meet on blocks of their SimHash, radius + 1 of them,
 so that no fingerprint within the radius is missed; the Hamming distance and then the multiplicities
-themselves decide.  All of it is DataFrame expressions.
+themselves decide.  A window or item that repeats a shingle has a SimHash of few, heavy votes, which flip together; such
+pairs skip the SimHash and go to the multiplicities at once.  All of it is DataFrame expressions.
 
 The items are broadcast below a checked number of shingles and merged by sort beyond it.
 Null or blank texts match nothing; rows with a null id are not reported; rows that repeat an
@@ -63,6 +64,10 @@ def simhash(values: str) -> Column:
     )
 
 
+def distinct_values(values: str) -> Column:
+    return F.size(F.array_distinct(values)) == F.size(values)
+
+
 def hamming_blocks(fingerprint: str, radius: int) -> Column:
     """``radius + 1`` (block, value) pairs that cover all bits."""
     n = radius + 1
@@ -94,7 +99,7 @@ def _of_width(docs: DataFrame, items: DataFrame, width: int, percent: int, radiu
     met = (
         places.join(build_side(entries, n), "shingle")
         .groupBy("doc_id", "item_id")
-        .agg(F.collect_list("at").alias("places"), F.first("total").alias("total"))
+        .agg(F.sort_array(F.collect_list("at")).alias("places"), F.first("total").alias("total"))
         .where(100 * F.size("places") >= percent * F.col("total"))
         .select("doc_id", "item_id", "places")
     )
@@ -104,32 +109,37 @@ def _of_width(docs: DataFrame, items: DataFrame, width: int, percent: int, radiu
         "doc_id", F.size("words").alias("n"), shingles("words", width).alias("doc_shingles")
     )
     last = F.greatest(F.col("n") - F.col("n_words"), F.lit(0))
-    held = F.filter(
-        F.array_distinct(F.transform("places", lambda p: F.least(p, last))),
-        lambda s: 100 * F.size(F.filter("places", lambda p: (p >= s) & (p < s + F.col("total")))) >= percent * F.col("total"),
+    # Places are in order, so a window that starts at one holds enough if the place `need - 1` further on is in it.
+    need = F.ceil(F.col("total") * percent / 100).cast("int")
+    own = F.filter(
+        F.transform("places", lambda p, i: F.when((p <= last) & (F.get("places", i + need - 1) < p + F.col("total")), p)),
+        lambda s: s.isNotNull(),
     )
+    beyond = (F.get("places", F.size("places") - 1) > last) & (F.get("places", F.size("places") - need) >= last)
+    held = F.array_distinct(F.concat(own, F.when(beyond, F.array(last)).otherwise(F.array().cast("array<int>"))))
     windows = (
         wanted.join(met, "doc_id")
-        .join(items.select("item_id", "total", "n_words"), "item_id")
-        .select("doc_id", "item_id", F.explode(
+        .join(items.select("item_id", "total", "n_words", "item_plain"), "item_id")
+        .select("doc_id", "item_id", "item_plain", F.explode(
             F.transform(held, lambda s: F.struct(s.alias("start"), F.slice("doc_shingles", s + 1, F.col("total")).alias("window")))
         ).alias("w"))
-        .select("doc_id", "item_id", "w.start", "w.window")
-        .withColumn("print", simhash("window"))
+        .select("doc_id", "item_id", "w.start", "w.window", (F.col("item_plain") & distinct_values("window")).alias("plain"))
+        .withColumn("print", F.when(F.col("plain"), simhash("window")))
     )
     windows = cut(windows)
     printed = items.select("item_id", "item_print", F.explode(hamming_blocks("item_print", radius)).alias("key"))
     near = (
-        windows.select("doc_id", "item_id", "start", "print", F.explode(hamming_blocks("print", radius)).alias("key"))
+        windows.where("plain").select("doc_id", "item_id", "start", "print", F.explode(hamming_blocks("print", radius)).alias("key"))
         .join(printed, ["item_id", "key"])
         .where(F.bit_count(F.col("print").bitwiseXOR(F.col("item_print"))) <= radius)
         .select("doc_id", "item_id", "start")
         .distinct()
     )
-    common = shared_weight("window", "item_shingles")
+    common = F.when(F.col("plain"), F.size(F.array_intersect("window", "item_shingles"))).otherwise(shared_weight("window", "item_shingles"))
     size = F.size("window") + F.size("item_shingles")
+    candidates = windows.where("plain").join(near, ["doc_id", "item_id", "start"], "left_semi").unionByName(windows.where("not plain"))
     return (
-        windows.join(near, ["doc_id", "item_id", "start"], "left_semi")
+        candidates
         .join(items.select("item_id", "item_shingles"), "item_id")
         .withColumn("common", common)
         .where((100 + percent) * F.col("common") >= percent * size)
@@ -146,7 +156,7 @@ def leaks(documents: DataFrame, benchmark: DataFrame, width: int = WIDTH, percen
     for (w,) in texts.select(F.least("n_words", F.lit(width))).distinct().collect():  # at most `width` values
         mine = texts.where(F.least("n_words", F.lit(width)) == w).withColumn("item_shingles", shingles("item_words", w))
         mine = cut(
-            mine.select("item_id", "n_words", F.size("item_shingles").alias("total"), "item_shingles", simhash("item_shingles").alias("item_print"))
+            mine.select("item_id", "n_words", F.size("item_shingles").alias("total"), "item_shingles", simhash("item_shingles").alias("item_print"), distinct_values("item_shingles").alias("item_plain"))
         )
         found.append(_of_width(docs, mine, w, percent, radius))
     if not found:

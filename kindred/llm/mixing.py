@@ -14,8 +14,9 @@ document at which a source stops, and every document is then judged by itself.
 bins meet in one task.
 
 Null texts have size 0, null sources are a source; documents without words may be taken but
-count nothing; rows that repeat id, source and size are taken alike.  Nothing is drawn at run time,
-so reruns agree.  An empty table gives an empty mix.  Extra columns are kept.
+count nothing; rows that repeat id, source and size are taken alike.  Rows without an id draw by their text and, where
+they are equal, by a number among equal rows, so each is taken by itself.  Nothing is drawn at run time,
+so reruns agree.  An empty table gives an empty mix.  Extra columns are kept, but for those named like a result.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from kindred.llm.columns import ROW, field, fields, packed
 from kindred.sources.staging import cut, small
 
 WEIGHTS = (5, 2, 1)
@@ -34,9 +36,9 @@ BINS = 4096
 BLANK_RUN = "[\\x20\\x09-\\x0D]+"
 
 
-def word_count(text: str) -> Column:
+def word_count(text: str | Column) -> Column:
     """Words of a text: the pieces between blank runs, without the two outer ones."""
-    return (F.size(F.split(F.concat(F.lit(" "), F.coalesce(text, F.lit("")), F.lit(" ")), BLANK_RUN)) - 2).cast("long")
+    return (F.size(F.split(F.concat(F.lit(" "), F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit("")), F.lit(" ")), BLANK_RUN)) - 2).cast("long")
 
 
 def _same_source(a: DataFrame, b: DataFrame, how: str = "inner") -> DataFrame:
@@ -78,7 +80,7 @@ def shares(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOS
 
 def pareto_rank(seed: str) -> Column:
     """Odds of the random number over the inclusion odds."""
-    draw = F.conv(F.substring(F.md5(F.concat(F.coalesce(F.col("_id").cast("string"), F.lit("")), F.lit(":" + seed))), 1, 13), 16, 10)
+    draw = F.conv(F.substring(F.md5(F.concat(F.coalesce(F.col("_id").cast("string"), F.lit("")), "_mark", F.lit(":" + seed))), 1, 13), 16, 10)
     u = (draw.cast("double") + 0.5) / F.lit(float(1 << 52))
     favour = F.when(F.col("_size") > 0, F.sqrt(F.col("_mean") / F.col("_size"))).otherwise(1.0)
     return (u / (1 - u)) / (F.col("_fraction") / (1 - F.col("_fraction")) * favour)
@@ -94,21 +96,42 @@ def _stops(ranked: DataFrame, by: list[str], left: str) -> DataFrame:
     )
 
 
+def _marked(rows: DataFrame) -> DataFrame:
+    """Rows without an id, marked by source and text and a number among equal rows.
+
+    Numbers run on from task to task, so equal rows, however many, meet in no task; written once, since they go by tasks.
+    """
+    same = F.sha2(F.to_json(F.struct(field("source").alias("s"), field("text").alias("t"))), 256)
+    rows = cut(rows.withColumns({"_same": same, "_task": F.spark_partition_id()}))
+    counts = rows.groupBy("_same", "_task").agg(F.count("*").alias("_n"))
+    # One row a task and kind of row.
+    before = F.coalesce(F.sum("_n").over(Window.partitionBy("_same").orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    counts = counts.select("_same", "_task", before.alias("_before"))
+    within = F.row_number().over(Window.partitionBy("_same", "_task").orderBy(F.lit(0)))
+    return (
+        rows.withColumn("_within", within)
+        .join(counts, ["_same", "_task"])
+        .select(ROW, "_id", F.concat_ws("/", "_same", F.col("_before") + F.col("_within")).alias("_mark"))
+    )
+
+
 def mixture(
     documents: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST, seed: str = SEED
 ) -> DataFrame:
     """``documents`` with ``_size``, ``_source_size``, ``_target`` and ``_copies``."""
-    measured = documents.withColumns(
-        {"_id": F.col("doc_id").cast("long"), "_source": F.col("source"), "_size": word_count("text")}
+    rows = packed(documents).withColumn("_id", field("doc_id").cast("long"))
+    known = rows.where("_id is not null").withColumn("_mark", F.lit(""))
+    measured = known.unionByName(_marked(rows.where("_id is null"))).withColumns(
+        {"_source": field("source"), "_size": word_count(field("text"))}
     )
-    sizes = cut(measured.select("_id", "_source", "_size"))
+    sizes = cut(measured.select("_id", "_mark", "_source", "_size"))
     plan = cut(shares(sizes, weights, most))
     n = plan.count()
     plan = small(plan, n)
 
     rank = F.col("_rank") / (1 + F.col("_rank"))
     ranked = _same_source(sizes, plan).where("_fraction > 0").withColumn("_rank", pareto_rank(seed))
-    ranked = ranked.select("_source", "_id", "_size", "_rank", (rank * BINS).alias("_at"), F.col("_left"))
+    ranked = ranked.select("_source", "_id", "_mark", "_size", "_rank", (rank * BINS).alias("_at"), F.col("_left"))
 
     def bin_stop(rows: DataFrame, depth: int) -> DataFrame:
         binned = rows.groupBy("_source", F.floor("_at").alias("_bin")).agg(F.sum("_size").alias("_size"), F.first("_left").alias("_left"))
@@ -119,33 +142,34 @@ def mixture(
     inner = (
         _same_source(ranked, first)
         .where(F.floor("_at") == F.col("_bin1"))
-        .select("_source", "_id", "_size", "_rank", ((F.col("_at") - F.col("_bin1")) * BINS).alias("_at"), F.col("_left1").alias("_left"))
+        .select("_source", "_id", "_mark", "_size", "_rank", ((F.col("_at") - F.col("_bin1")) * BINS).alias("_at"), F.col("_left1").alias("_left"))
     )
     second = bin_stop(inner, 2)
     last = (
-        _same_source(inner.drop("_left"), second).where(F.floor("_at") == F.col("_bin2")).groupBy("_source", "_rank", "_id")
+        _same_source(inner.drop("_left"), second).where(F.floor("_at") == F.col("_bin2")).groupBy("_source", "_rank", "_id", "_mark")
         .agg(F.sum("_size").alias("_size"), F.first("_left2").alias("_left"))
     )
-    stop = _stops(last, ["_rank", "_id"], "_left").select(
+    stop = _stops(last, ["_rank", "_id", "_mark"], "_left").select(
         "_source",
-        F.struct("_rank", F.coalesce("_id", F.lit(-(1 << 63)))).alias("_stop"),
+        F.struct("_rank", F.coalesce("_id", F.lit(-(1 << 63))).alias("_id"), "_mark").alias("_stop"),
         (F.col("_sum") - F.col("_left") <= F.col("_left") - F.col("_before")).alias("_with"),
     )
     stop = small(cut(stop), n)
 
     judged = _same_source(_same_source(measured, plan), stop, "left").withColumn("_rank", F.when(F.col("_fraction") > 0, pareto_rank(seed)))
-    key = F.struct(F.col("_rank"), F.coalesce("_id", F.lit(-(1 << 63))).alias("_id"))
+    key = F.struct("_rank", F.coalesce("_id", F.lit(-(1 << 63))).alias("_id"), "_mark")
     more = F.when(
         (F.col("_fraction") > 0) & F.col("_stop").isNotNull(),
         ((key < F.col("_stop")) | ((key == F.col("_stop")) & F.col("_with"))).cast("long"),
     ).otherwise(F.lit(0))
-    # The id decides between equal ranks; a null id comes first.
+    # The id decides between equal ranks, a null id first, then the mark.
     return judged.withColumn("_copies", F.col("_whole") + more).select(
-        *[documents[c] for c in documents.columns], "_size", "_source_size", "_target", "_copies"
+        *fields(documents, "_size", "_source_size", "_target", "_copies"), "_size", "_source_size", "_target", "_copies"
     )
 
 
 def mixed(documents: DataFrame, **options) -> DataFrame:
     """The mix itself: each document as often as it is taken."""
-    out = mixture(documents, **options).where("_copies > 0")
-    return out.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))).select(*documents.columns)
+    whole = packed(documents).select(ROW, *(field(c).alias(c) for c in ("doc_id", "source", "text")))
+    out = mixture(whole, **options).where("_copies > 0")
+    return out.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))).select(*fields(documents))

@@ -326,7 +326,8 @@ def write_tokens(documents: DataFrame, path: str, tokenizer_path: str, end_id: i
         "compression", "zstd"
     ).parquet(plain)
     blocks = spark.read.schema(PLACE + ", width int, ids binary").parquet(plain)
-    _counts(blocks).coalesce(1).write.parquet(f"{path}/table")
+    # One row an id; only these, added up, meet in one task.
+    _counts(blocks).repartition(1).write.parquet(f"{path}/table")
     table = spark.sparkContext.broadcast(_table(spark.read.schema("id long, count long").parquet(f"{path}/table")))
     schema = pa.schema([*_PLACE_FIELDS, ("payload_crc32", pa.int64()), ("payload", pa.binary())])
 

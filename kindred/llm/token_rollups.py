@@ -12,7 +12,8 @@ Of several changes of one document and version in a batch the one with the great
 equal ones the greatest by operation and values.  Deleting what is not there has no effect; inserting what is
 there replaces it, as does revising; revising what is not there inserts it.  Null sources and languages are
 groups, null versions one version; null tokens count 0.  A change without a doc_id names no document, so it can only add:
-each insert or revise counts as a document of its own, a delete has no effect.  An empty batch is a
+each insert or revise counts as a document of its own, a delete has no effect.  A change whose operation is null or none
+of the three changes nothing and is kept in ``path/rejects/batch=<n>`` (``rejected``).  An empty batch is a
 batch.  Extra columns are ignored.
 """
 
@@ -24,17 +25,18 @@ from pyspark.sql import functions as F
 GROUP = ("source", "lang", "version")
 OPERATIONS = ("insert", "delete", "revise")
 LEDGER = "doc_id long, version string, source string, lang string, docs long, tokens long"
+REJECTS = "doc_id long, version string, op string, seq long"
 ROLLUP = "source string, lang string, version string, docs long, tokens long"
 
 
 def _final(changes: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The change that counts of each document and version, and all changes without a document."""
-    rows = changes.select(
+    rows = changes.where(F.col("op").isin(*OPERATIONS)).select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.col("version").cast("string").alias("version"),
         F.struct(
             F.col("seq").cast("long").alias("seq"),
-            F.when(F.col("op").isin(*OPERATIONS), F.col("op")).otherwise(F.raise_error(F.lit("an unknown operation"))).alias("op"),
+            "op",
             F.col("source").cast("string").alias("source"),
             F.col("lang").cast("string").alias("lang"),
             F.coalesce(F.col("tokens").cast("long"), F.lit(0)).alias("tokens"),
@@ -57,6 +59,10 @@ def commit_batch(changes: DataFrame, path: str, batch: int) -> None:
     """Apply batch number ``batch`` (1, 2, ...); the earlier ones must be there."""
     spark = changes.sparkSession
     final, unnamed = _final(changes)
+    refused = changes.where(~F.coalesce(F.col("op").isin(*OPERATIONS), F.lit(False)))
+    refused.select(
+        F.col("doc_id").cast("long").alias("doc_id"), *(F.col(c).cast("string").alias(c) for c in ("version", "op")), F.col("seq").cast("long").alias("seq")
+    ).write.mode("overwrite").parquet(f"{path}/rejects/batch={batch}")
     # What is left of a document is the sum of its signed rows.
     left = (
         _earlier(spark, path, "ledger", LEDGER, batch)
@@ -82,3 +88,8 @@ def totals(spark: SparkSession, path: str, upto: int | None = None) -> DataFrame
     """``(source, lang, version, docs, tokens)`` after batch ``upto`` (the last, if none is given)."""
     rows = _earlier(spark, path, "rollup", ROLLUP, None if upto is None else upto + 1)
     return rows.groupBy(*GROUP).agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens")).where("docs <> 0 or tokens <> 0")
+
+
+def rejected(spark: SparkSession, path: str, upto: int | None = None) -> DataFrame:
+    """``(doc_id, version, op, seq)`` of the changes that batches up to ``upto`` refused."""
+    return _earlier(spark, path, "rejects", REJECTS, None if upto is None else upto + 1)

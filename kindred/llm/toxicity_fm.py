@@ -12,7 +12,7 @@ fitted table.  Only the text is an input.
 
 Null and empty texts have no term and get the base rate.  Labels that repeat a doc_id count as toxic if
 any does; null labels are ignored.  Without rows of both labels the score is the base rate.  Null ids are
-never held out and never learnt from.  All columns of the documents are kept.
+never held out and never learnt from.  All columns of the documents are kept, but for one named like the score.
 """
 
 from __future__ import annotations
@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kindred.llm import words as W
+from kindred.llm.columns import others, quoted
 from kindred.sources.staging import cut
 
 SAMPLE_ROWS = 16_000
@@ -169,7 +170,8 @@ def fit(terms: np.ndarray, rows: list[tuple[int, np.ndarray]], rank: int = RANK,
 
 
 def scored(documents: DataFrame, model: Model, column: str = "_toxicity") -> DataFrame:
-    """``documents`` with a score from 0 to 1 of every whole text."""
+    """``documents`` with a score from 0 to 1 of every whole text, in place of any column of that name."""
+    documents = documents.select(*map(quoted, others(documents, column)))
     shared = documents.sparkSession.sparkContext.broadcast(model)
     text = documents.columns.index("text")
 
@@ -182,6 +184,6 @@ def scored(documents: DataFrame, model: Model, column: str = "_toxicity") -> Dat
     return documents.mapInArrow(run, T.StructType([*documents.schema.fields, T.StructField(column, T.DoubleType())]))
 
 
-def toxicity(documents: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
-    """Learn from the labels, score every document."""
-    return scored(documents, fit(*known_terms(sample(documents, labels, rows))))
+def toxicity(documents: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, column: str = "_toxicity") -> DataFrame:
+    """Learn from the labels, score every document in a column of that name."""
+    return scored(documents, fit(*known_terms(sample(documents, labels, rows))), column)

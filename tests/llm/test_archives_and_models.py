@@ -242,3 +242,21 @@ def test_rollups_of_null_ids_and_versions(spark, tmp_path):
     spark.createDataFrame(docs, "doc_id long, text string, source string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
     got = {r.version: (r.docs, r.tokens) for r in queries.op9_token_rollups(spark, str(tmp_path)).collect()}
     assert got == {"words-1": (3, 2 + 25 + 29), "pieces-1": (4, 2 + 25 + 30 + 1)}
+
+
+def test_rollups_refuse_unknown_operations(spark, tmp_path):
+    path = str(tmp_path / "counts")
+    schema = "doc_id long, version string, seq long, op string, source string, lang string, tokens long"
+    rows = [(1, "v", 1, "insert", "a", "en", 5), (1, "v", 2, None, "a", "en", 9), (2, "v", 1, "replace", "a", "en", 7), (None, "v", 1, None, "a", "en", 1)]
+    for _ in range(2):
+        token_rollups.commit_batch(spark.createDataFrame(rows, schema), path, 1)
+    assert [tuple(r) for r in token_rollups.totals(spark, path).collect()] == [("a", "en", "v", 1, 5)]
+    assert sorted((r.doc_id or 0, r.op or "") for r in token_rollups.rejected(spark, path).collect()) == [(0, ""), (1, ""), (2, "replace")]
+
+
+def test_toxicity_with_clashing_names(spark):
+    docs = spark.createDataFrame([(i, "bad words" if i % 2 else "good words", 3.0) for i in range(40)], "doc_id long, text string, _TOXICITY double")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int")
+    got = toxicity_fm.toxicity(docs, labels)
+    assert got.columns == ["doc_id", "text", "_toxicity"] and got.count() == 40
+    assert toxicity_fm.toxicity(docs, labels, column="_s").columns == ["doc_id", "text", "_TOXICITY", "_s"]
