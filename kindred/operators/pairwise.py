@@ -54,3 +54,29 @@ def by_blocks(
         return forth if key[0] == key[1] else pd.concat([forth, reduce_pair(b, a, between.T)])
 
     return left.groupBy("_i", "_j").cogroup(right.groupBy("_i", "_j")).applyInPandas(apply, schema)
+
+
+def between_blocks(
+    left: DataFrame,
+    n_left: int,
+    right: DataFrame,
+    n_right: int,
+    reduce_pair: Callable[[pd.DataFrame, pd.DataFrame, np.ndarray], pd.DataFrame],
+    schema: str,
+) -> DataFrame:
+    """Apply ``reduce_pair(a, b, distances)`` to each block of the left points with each block of the right ones."""
+    rows, columns = max(1, -(-n_left // BLOCK_ROWS)), max(1, -(-n_right // BLOCK_ROWS))
+
+    def dealt(points: DataFrame, own: str, blocks: int, other: str, others: int) -> DataFrame:
+        numbers = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(others - 1).cast("bigint")))
+        return points.withColumn(own, F.pmod(F.xxhash64("pid"), F.lit(blocks))).withColumn(other, numbers)
+
+    a = dealt(left, "_i", rows, "_j", columns)
+    b = dealt(right, "_j", columns, "_i", rows).select(*[F.col(c).alias(c) for c in a.columns])  # columns of its own
+
+    def apply(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        if a.empty or b.empty:
+            return pd.DataFrame({c.split()[0]: [] for c in schema.split(", ")})
+        return reduce_pair(a, b, distances(a, b))
+
+    return a.groupBy("_i", "_j").cogroup(b.groupBy("_i", "_j")).applyInPandas(apply, schema)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from kindred.fixed import FEATURE_CLUSTERS
 from kindred.operators.components import components
 from kindred.operators.features import kmeans
-from kindred.operators.pairwise import by_blocks
+from kindred.operators.pairwise import between_blocks, by_blocks
 from kindred.sources.staging import cut
 
 # K-Means groups that the grouped form merges.
@@ -41,18 +41,27 @@ def merges(points: DataFrame, n: int, stop_at: int = 1) -> DataFrame | None:
     decrease up the tree, so the rounds end once every merge not yet made is
     known to lie above the ones needed.  ``n`` is the number of points; a single
     point has no merges.
+
+    A merged group is never nearer to a third one than the nearer of its parts was, so a group keeps its
+    nearest neighbour until that one merges.  Rounds after the first compare only merged groups, and
+    those whose neighbour merged, with the others.
     """
     groups = cut(points.select("pid", "vector", F.col("weight").cast("double").alias("weight")))
     left = groups.count()
     rounds: list[DataFrame] = []
+    kept = asking = None
     while left > 1:
-        found = by_blocks(groups, left, _nearest_in_block, "pid long, other long, cost double")
+        if kept is None:
+            found = by_blocks(groups, left, _nearest_in_block, "pid long, other long, cost double")
+        else:
+            found = between_blocks(asking, asking.count(), groups, left, _nearest_in_block, "pid long, other long, cost double")
         best = (
             found.where(F.col("cost") != float("inf"))
             .groupBy("pid")
             .agg(F.min(F.struct("cost", "other")).alias("_m"))
             .select("pid", F.col("_m.other").alias("other"), F.col("_m.cost").alias("height"))
         )
+        best = cut(best if kept is None else best.unionByName(kept))
         if left <= stop_at:
             floor = best.agg(F.min("height")).first()[0]
             needed = _union(rounds).orderBy("height").limit(n - stop_at).agg(F.max("height")).first()[0]
@@ -83,6 +92,9 @@ def merges(points: DataFrame, n: int, stop_at: int = 1) -> DataFrame | None:
         kept = groups.join(pairs.select(F.col("b").alias("pid")), "pid", "left_anti")
         merged = kept.join(pairs.select(F.col("a").alias("pid"), "b"), "pid", "left").join(second, "b", "left")
         groups = cut(merged.select("pid", mean.alias("vector"), F.coalesce(total, "weight").alias("weight")))
+        gone = pairs.select(F.explode(F.array("a", "b")).alias("pid"))
+        kept = cut(best.join(gone, "pid", "left_anti").join(gone.withColumnRenamed("pid", "other"), "other", "left_anti").select(*best.columns))
+        asking = cut(groups.join(kept, "pid", "left_anti"))
     return _union(rounds) if rounds else None
 
 

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from kindred.operators import features, order_stats, pairwise, rank_clusters, regression
+from kindred.operators import ward as ward_module
 from kindred.operators.components import components
 from kindred.operators.dbscan import dbscan
 from kindred.operators.silhouette import silhouette
@@ -212,6 +213,33 @@ def test_ward_equals_naive_merging(spark, monkeypatch, block):
     assert got == brute_ward(v, 3)
 
 
+@pytest.mark.parametrize("block", [1024, 7])
+def test_ward_keeps_nearest_neighbours(spark, monkeypatch, block):
+    """Heights of the whole tree equal those of plain merging; later rounds ask for some of the groups only."""
+    asked = []
+
+    def counted(left, n_left, right, n_right, *rest):
+        asked.append((n_left, n_right))
+        return between_blocks(left, n_left, right, n_right, *rest)
+
+    between_blocks = ward_module.between_blocks
+    monkeypatch.setattr(pairwise, "BLOCK_ROWS", block)
+    monkeypatch.setattr(ward_module, "between_blocks", counted)
+    v = np.random.default_rng(4).normal(size=(24, 3))
+    got = sorted(r.height for r in ward_module.merges(point_frame(spark, v), len(v)).collect())
+    groups, want = {i: [i] for i in range(len(v))}, []
+    while len(groups) > 1:
+        cost = {
+            (a, b): np.sqrt(2 * len(x) * len(y) / (len(x) + len(y))) * np.linalg.norm(v[x].mean(0) - v[y].mean(0))
+            for a, x in groups.items() for b, y in groups.items() if a < b
+        }
+        a, b = min(cost, key=cost.get)
+        want.append(cost[a, b])
+        groups[a] += groups.pop(b)
+    assert np.allclose(got, sorted(want), atol=1e-8)
+    assert asked and sum(a for a, _ in asked) < sum(n for _, n in asked)
+
+
 def test_ward_grouped_keeps_far_groups_apart(spark):
     v = np.random.default_rng(3).normal(size=(60, 2)) * 0.05 + np.repeat([[0, 0], [9, 9], [0, 9]], 20, axis=0)
     got = {r.pid: r.cluster for r in ward_grouped(point_frame(spark, v), 3, groups=12).collect()}
