@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kindred.sources.staging import small
+from kindred.sources.staging import cut, small
 
 _S, _D, _B = T.StringType(), T.DoubleType(), T.BooleanType()
 
@@ -42,7 +42,7 @@ def read_csv(
     """CSV scan with quoted line breaks and doubled quotes.
 
     Files known to hold no quoted line breaks can be read with ``multi_line=False``; large
-    ones are then split among tasks (not for ``with_row_order``).  Only the empty field is null; ``na_tokens`` adds further null spellings.
+    ones are then split among tasks.  Only the empty field is null; ``na_tokens`` adds further null spellings.
     """
     df = spark.read.schema(schema).csv(
         path, header=True, multiLine=multi_line, quote='"', escape='"'
@@ -61,28 +61,36 @@ def read_csv(
 
 
 def with_row_order(scan: DataFrame, name: str = "ord") -> DataFrame:
-    """Add the row number in file-name order to a scan of unsplit files.
-
-    Rows of one file are read in one go, so their generated ids are
-    consecutive; one small aggregate per file gives the offsets.  No row is
-    sorted or, up to the bound of a broadcast on the number of files, shuffled.
+    """Add the row number, from 0, in order of file names and of places in the files.
+
+    Large files may be split among tasks.  One task reads a split in one go, so ids
+    generated in the scan rise by one within it; the counts of the splits, one small row each,
+    added up by file and then over the files, give what comes before.  The scan is
+    written with its ids first: read twice, it could be split another way, for Spark deals
+    small inputs by the cores that it has at that moment.  No row of the scan is sorted or,
+    up to the bound of a broadcast on the number of splits, shuffled.
     """
-    from pyspark.sql import Window
-
-    marked = scan.select(
-        "*",
-        F.col("_metadata.file_path").alias("_file"),
-        F.monotonically_increasing_id().alias("_row"),
-    )
-    files = marked.groupBy("_file").agg(F.min("_row").alias("_first"), F.count("*").alias("_n"))
-    before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = files.select(  # one row per file
-        "_file", (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_shift")
+    marked = cut(
+        scan.select(
+            "*",
+            F.col("_metadata.file_path").alias("_file"),
+            F.col("_metadata.file_block_start").alias("_start"),
+            F.monotonically_increasing_id().alias("_row"),
+        )
     )
+    splits = marked.groupBy("_file", "_start").agg(F.min("_row").alias("_first"), F.count("*").alias("_n"))
+    splits = cut(splits)
+    in_file = Window.partitionBy("_file").orderBy("_start").rowsBetween(Window.unboundedPreceding, -1)
+    over_files = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    files = splits.groupBy("_file").agg(F.sum("_n").alias("_n"))
+    files = files.select("_file", F.coalesce(F.sum("_n").over(over_files), F.lit(0)).alias("_files"))
+    before = F.coalesce(F.sum("_n").over(in_file), F.lit(0))
+    inside = splits.select("_file", "_start", (before - F.col("_first")).alias("_inside"))
+    shifts = inside.join(files, "_file").select("_file", "_start", (F.col("_files") + F.col("_inside")).alias("_shift"))
     return (
-        marked.join(small(offsets, len(scan.inputFiles())), "_file")
+        marked.join(small(shifts, splits.count()), ["_file", "_start"])
         .withColumn(name, F.col("_row") + F.col("_shift"))
-        .drop("_file", "_row", "_shift")
+        .drop("_file", "_start", "_row", "_shift")
     )
 
 

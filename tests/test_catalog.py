@@ -1,6 +1,8 @@
 import json
 
+import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import _parse_datatype_string as parse
 
 from kindred.functions.labels import feature_labels, label_set
 from kindred.operators import clean, labelsets, lookup, profile
@@ -132,8 +134,6 @@ def test_csv_without_breaks_can_be_split(spark, tmp_path):
 def test_na_tokens_are_opt_in(spark, tmp_path):
     (tmp_path / "t.csv").write_text("a,b\nNone,1\nx,\n")
     schema = "a string, b string"
-    from pyspark.sql.types import _parse_datatype_string as parse
-
     plain = tables.read_csv(spark, str(tmp_path / "t.csv"), parse(schema)).collect()
     assert [tuple(r) for r in plain] == [("None", "1"), ("x", None)]
     nulled = tables.read_csv(spark, str(tmp_path / "t.csv"), parse(schema), na_tokens=["None"]).collect()
@@ -143,12 +143,33 @@ def test_na_tokens_are_opt_in(spark, tmp_path):
 def test_row_order_over_several_files(spark, tmp_path):
     for name, rows in (("b.csv", ["3", "4"]), ("a.csv", ["0", "1", "2"]), ("c.csv", ["5"])):
         (tmp_path / name).write_text("v\n" + "\n".join(rows) + "\n")
-    from pyspark.sql.types import _parse_datatype_string as parse
-
     df = tables.with_row_order(tables.read_csv(spark, str(tmp_path), parse("v long")))
     assert {(r.v, r.ord) for r in df.collect()} == {(i, i) for i in range(6)}
 
 
+@pytest.mark.parametrize("multi_line", [False, True])
+def test_row_order_of_split_files(spark, tmp_path, multi_line):
+    sizes, value = {"a": 700, "b": 1, "c": 0, "d": 400}, 0
+    for name, n in sizes.items():
+        rows = [str(value + i) + "," + "x" * ((value + i) % 37) for i in range(n)]
+        (tmp_path / f"{name}.csv").write_text("\n".join(["v,pad", *rows]) + "\n")
+        value += n
+    was = {c: spark.conf.get(c) for c in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    spark.conf.set("spark.sql.files.openCostInBytes", "10")
+    try:
+        scan = tables.read_csv(spark, str(tmp_path), parse("v long, pad string"), multi_line=multi_line)
+        splits = scan.select("_metadata.file_path", "_metadata.file_block_start").distinct().count()
+        got = tables.with_row_order(scan).select("v", "ord").collect()
+    finally:
+        for c, v in was.items():
+            spark.conf.set(c, v)
+    assert splits == 3 if multi_line else splits > 8
+    assert sorted(map(tuple, got)) == [(i, i) for i in range(value)]
+    empty = tables.with_row_order(tables.read_csv(spark, str(tmp_path / "c.csv"), parse("v long, pad string")))
+    assert empty.count() == 0 and empty.columns == ["v", "pad", "ord"]
+
+
 def test_dictionary(spark, tmp_path):
     content = {"meta": {"date": "d", "version": "v"}, "data": {"abilityWords": ["A", "B"], "keywordAbilities": ["C"], "keywordActions": []}}
     path = tmp_path / "k.json"

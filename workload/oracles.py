@@ -494,6 +494,8 @@ SELECT {rounded('avg(mse)', 1, 'mean_mse')}, {rounded('(SELECT avg(y) FROM lines
     # sources and sinks
     sql["csv_roundtrip"] = "SELECT doc_id, text, source, n_chars FROM documents"
     sql["csv_row_order"] = "SELECT p_partkey, p_name, p_partkey AS ord FROM part"
+    line = "l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity"
+    sql["csv_split_order"] = f"SELECT {line}, row_number() OVER (ORDER BY {line}) - 1 AS ord FROM lineitem"
     dictionary = """WITH d AS (
   SELECT DISTINCT category, keyword FROM (
     SELECT 'names' AS category, unnest(string_split(p_name, ' ')) AS keyword FROM part

@@ -575,6 +575,15 @@ def csv_row_order(spark, sf_dir):
     return tables.with_row_order(tables.read_csv(spark, path, source.schema))
 
 
+def csv_split_order(spark, sf_dir):
+    """Row numbers of order lines over several CSV files that tasks may split."""
+    columns = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
+    source = tables.read_table(spark, f"{sf_dir}/lineitem.parquet", *columns)
+    path = staging.staged_path(spark, "lineitem-csv")
+    tables.write_csv(source.repartitionByRange(*columns).sortWithinPartitions(*columns), path)
+    return tables.with_row_order(tables.read_csv(spark, path, source.schema, multi_line=False))
+
+
 def keyword_dictionary(spark, sf_dir):
     """Nested JSON dictionaries, one per part, to (category, keyword)."""
     categories = ("names", "brands", "types")
@@ -606,7 +615,7 @@ REGISTERED: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     silhouette, silhouette_squared, cluster_scores,
     linreg, training_mse, kfold_mse, train_test_split, synthetic_score, random_draws,
     prediction_sample, plot_series,
-    csv_roundtrip, csv_row_order, keyword_dictionary, keyword_categories,
+    csv_roundtrip, csv_row_order, csv_split_order, keyword_dictionary, keyword_categories,
 )
 
 
