@@ -40,7 +40,10 @@ BLANK = " \t\x0b\x0c\r"
 
 
 def tokens(line: Column) -> Column:
-    return F.split(F.btrim(line, F.lit(BLANK)), "[\\x20\\x09-\\x0D]+")
+    bare = F.btrim(line, F.lit(BLANK))
+    uneven = reduce(Column.__or__, (F.contains(bare, F.lit(b)) for b in ("  ", *BLANK[1:])))
+    # Splitting at one character needs no regular expression.
+    return F.when(uneven, F.split(bare, "[\\x20\\x09-\\x0D]+")).otherwise(F.split(bare, " "))
 
 
 def masked(token: Column) -> Column:
