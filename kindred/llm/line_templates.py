@@ -154,12 +154,17 @@ def _templates(lines: DataFrame, found: DataFrame | None, percent: int) -> DataF
     common = (
         fields.join(build_side(counts, counts.count()), ["leaf", "at"])
         .groupBy("leaf", "line_id")
-        .agg(F.first("lead").alias("lead"), F.first("n").alias("n"), F.array_sort(F.collect_list(F.struct("at", "n_at"))).alias("common"))
+        .agg(F.first("lead").alias("lead"), F.first("n").alias("n"), F.sort_array(F.collect_list(F.struct("at", "n_at"))).alias("common"))
         .withColumn("needed", needed)
         .where(F.size("common") >= F.col("needed"))
-        .withColumn("least", F.get(F.sort_array(F.transform("common", lambda c: c["n_at"]), asc=False), F.col("needed") - 1))
     )
-    fixed = F.transform(F.filter("common", lambda c: c["n_at"] >= F.col("least")), lambda c: c["at"])
+
+    def stay(least: Column) -> Column:
+        return F.transform(F.filter("common", lambda c: c["n_at"] >= least), lambda c: c["at"])
+
+    least = F.get(F.sort_array("common.n_at", asc=False), F.col("needed") - 1)
+    # Bound as a variable: written into the filter, it would be sorted anew for every place.
+    fixed = F.get(F.transform(F.array(least), stay), 0)
     some = common.select("line_id", "leaf", "lead", "n", fixed.alias("fixed"))
     # Lines that end with the lead.
     bare = lines.where(F.size("tail") == 0).where(100 * constant_lead >= percent * F.size("lead"))
