@@ -338,16 +338,24 @@ def near_duplicates(documents: DataFrame, width: int = WIDTH, percent: int = PER
     tried = None
     several = member.where("doc_id is not null and leader is not null").groupBy("doc_id").agg(F.min("leader").alias("a"), F.max("leader").alias("b"))
     several = several.where("a <> b").select("doc_id", "a")
-    links = cut(member.join(several, "doc_id").where("leader <> a").select("a", F.col("leader").alias("b")).distinct())
+    links = fresh = cut(member.join(several, "doc_id").where("leader <> a").select("a", F.col("leader").alias("b")).distinct())
+    found = None
 
     def test(pairs: DataFrame) -> None:
         """Verify the pairs not yet tried, and add their links."""
-        nonlocal tried, links
+        nonlocal tried, links, fresh
         pairs = pairs.distinct()
         close = cut(_close(pairs if tried is None else pairs.join(tried.select("a", "b"), ["a", "b"], "left_anti"), leaders, percent))
         new = cut(_links(close, docs, width, percent))
         tried = close if tried is None else tried.union(close)
-        links = links.union(new)
+        links, fresh = links.union(new), new if fresh is None else fresh.union(new)
+
+    def merge() -> DataFrame:
+        """Components after the links found since the last call."""
+        nonlocal found, fresh
+        if fresh is not None:
+            found, fresh = cut(_merged(found, fresh)), None
+        return found
 
     waiting, taking_part = np.zeros(0, bool), docs
     for turn in range(1, ROUNDS + 1):
@@ -355,18 +363,19 @@ def near_duplicates(documents: DataFrame, width: int = WIDTH, percent: int = PER
         met = led(led(stars.select("doc_id", "rep").distinct(), "doc_id", "x"), "rep", "y").where("x <> y")
         test(met.select(*_ordered("x", "y")))
         seats = led(stars.select("part", "doc_id").union(stars.select("part", "rep")).distinct(), "doc_id", "leader")
-        seats = cut(_apart(seats.select("part", "leader").distinct(), _components(links)))
+        seats = cut(_apart(seats.select("part", "leader").distinct(), merge()))
         if seats.isEmpty():
             break
         # The document with most links stands for each part.
         degree = links.select(F.col("a").alias("leader")).union(links.select("b")).groupBy("leader").agg(F.count("*").alias("degree"))
         hubs = seats.join(degree, "leader").groupBy("part").agg(F.max(F.struct("degree", "leader"))["leader"].alias("hub"))
         test(seats.join(hubs, "part").where("leader <> hub").select(*_ordered("leader", "hub")))
-        found = cut(_components(links))
-        seats = cut(_apart(seats.select("part", "leader"), found))
+        seats = cut(_apart(seats.select("part", "leader"), merge()))
+        if turn == ROUNDS:
+            test(_across(seats, leaders, percent))
+            break
         size = seats.groupBy("part").agg(F.count("*").alias("size"))
-        late = size.where(F.col("size") >= WAITS_FROM).select("part") if turn < ROUNDS else size.where("false").select("part")
-        late = cut(late)
+        late = cut(size.where(F.col("size") >= WAITS_FROM).select("part"))
         test(_across(seats.join(late, "part", "left_anti"), leaders, percent))
         if late.isEmpty():
             break
@@ -375,7 +384,7 @@ def near_duplicates(documents: DataFrame, width: int = WIDTH, percent: int = PER
         waiting[[r[0] for r in places.collect()]] = True  # at most PLACES numbers
         ids = cut(seats.join(late, "part", "left_semi").select(F.col("leader").alias("doc_id")).distinct())
         taking_part = docs.join(small(ids, ids.count()), "doc_id", "left_semi")
-    found = cut(_components(links))
+    merge()
 
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "leader", "doc_id"))
     return member.select("doc_id", "n_shingles", "leader").join(found, "leader", "left").select("doc_id", "n_shingles", component.alias("component_id"))
@@ -433,10 +442,21 @@ def _across(seats: DataFrame, leaders: DataFrame, percent: int) -> DataFrame:
     return few.select("a", "b").union(joined)
 
 
-def _components(links: DataFrame) -> DataFrame:
-    """``(leader, component)`` of documents that have a link."""
-    nodes = links.select(F.col("a").alias("pid")).union(links.select("b")).distinct()
-    return components(nodes, links.select("a", "b")).withColumnRenamed("pid", "leader")
+def _merged(found: DataFrame | None, links: DataFrame) -> DataFrame:
+    """``(leader, component)`` of documents that have a link.
+
+    ``found`` holds those of earlier links: only the components that new links join are contracted.
+    """
+    if found is None:
+        return components(None, links).withColumnRenamed("pid", "leader")
+    for side in "ab":
+        to = found.select(F.col("leader").alias(side), F.col("component").alias("_to"))
+        links = links.join(to, side, "left").withColumn(side, F.coalesce("_to", side)).drop("_to")
+    joined = components(None, links)
+    moved = found.join(joined.select(F.col("pid").alias("component"), F.col("component").alias("_to")), "component", "left")
+    # A joined node that is not the least of a component had no link before.
+    new = joined.withColumnRenamed("pid", "leader").join(found.select("leader"), "leader", "left_anti")
+    return moved.select("leader", F.coalesce("_to", "component").alias("component")).union(new.select("leader", "component"))
 
 
 def one_of_each(documents: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:

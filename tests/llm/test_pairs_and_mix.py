@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 from kindred.llm import decontaminate, jaccard_join, line_templates, mixing
+from kindred.operators import components
 from kindred.sources.staging import cut
 
 DOCS = "doc_id long, text string, source string, component_id int, _size string"
@@ -93,6 +94,39 @@ def test_ids_with_several_texts(spark):
     assert got == [(2, 2, 2), (4, 2, 2), (4, 3, 2), (7, 3, 2), (9, 1, 9)]
 
 
+def test_links_found_later_contract_components_only(spark, monkeypatch):
+    """Chains of near copies: rounds over the links of the first stars are not gone through again."""
+    rng = random.Random(5)
+    rows = []
+    for chain in range(6):
+        words = [f"c{chain}w{k}" for k in range(120)]
+        for step in range(8):
+            rows.append((10 * chain + step, " ".join(words)))
+            words[5 * step : 5 * step + 3] = [f"c{chain}s{step}x{k}" for k in range(3)]
+    # A passage that they share keeps documents of different components in the same parts through both rounds.
+    passage = [f"p{k}" for k in range(100)]
+    rows += [(100 + i, " ".join(passage + [f"d{i}x{k}" for k in range(60)])) for i in range(8)]
+    rng.shuffle(rows)
+    monkeypatch.setattr(jaccard_join, "WAITS_FROM", 4)
+    written, write = [], components.cut
+    monkeypatch.setattr(components, "cut", lambda df: written.append(len(written)) or write(df))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.near_duplicates(df).collect()}
+    assert got == components_of(rows)
+    assert len(written) <= 12, len(written)
+
+
+def test_merged_components(spark):
+    def frame(pairs):
+        return spark.createDataFrame(pairs, "a long, b long")
+
+    found = jaccard_join._merged(None, frame([(5, 6), (6, 7), (1, 2), (20, 21), (30, 30)]))
+    for new in ([(7, 9), (9, 8), (5, 6)], [(2, 8), (40, 41)], [(1, 9)]):
+        found = jaccard_join._merged(found, frame(new))
+    got = sorted((r.leader, r.component) for r in found.collect())
+    assert got == [(1, 1), (2, 1), *((i, 1) for i in range(5, 10)), (20, 20), (21, 20), (40, 40), (41, 40)]
+
+
 def test_large_texts_that_share_a_passage_leave_the_join_empty(spark, monkeypatch):
     rng = random.Random(8)
     passage = [f"p{i}" for i in range(900)]
