@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.ml.clustering import KMeans
+import numpy as np
+from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kindred.fixed import FEATURE_CLUSTERS, KMEANS_STARTS
+from kindred.operators import lloyd
 
 
 def standardise(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -71,17 +73,25 @@ def kmeans(
 ) -> DataFrame:
     """K-Means, the best of several starts by training cost.
 
-    A start ends after ``rounds`` or when no mean moves more than ``tolerance``.
+    A start ends after ``rounds`` or when no mean moves more than ``tolerance``.  With tolerance 0 Spark
+    gives the first means only, and all starts share their rounds (see ``lloyd``): one job a round.
     """
     data = points.withColumn("_v", array_to_vector(F.col(vector).cast("array<double>"))).persist()
+    together = tolerance == 0 and rounds > 0
+
+    def fitted(data: DataFrame, start: int) -> KMeansModel:
+        estimator = KMeans(k=k, seed=seed + start, featuresCol="_v", predictionCol=output, maxIter=0 if together else rounds, tol=tolerance)
+        return (estimator.setWeightCol(weight) if weight else estimator).fit(data)
+
     try:
-        models = []
-        for start in range(starts):
-            estimator = KMeans(k=k, seed=seed + start, featuresCol="_v", predictionCol=output, maxIter=rounds, tol=tolerance)
-            if weight:
-                estimator = estimator.setWeightCol(weight)
-            models.append(estimator.fit(data))
-        best = min(models, key=lambda m: m.summary.trainingCost)
+        if together:
+            few = lloyd.few_tasks(data)
+            first = [np.array(fitted(few, start).clusterCenters()) for start in range(starts)]
+            kept = lloyd.blocks(few, vector, weight)
+            means, _, _ = lloyd.settled(kept, first, rounds)
+            kept.unpersist()
+            return lloyd.placed(points, vector, means, output)
+        best = min((fitted(data, start) for start in range(starts)), key=lambda m: m.summary.trainingCost)
     finally:
         data.unpersist()
     return best.transform(data).drop("_v")

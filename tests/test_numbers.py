@@ -5,6 +5,8 @@ import struct
 
 import numpy as np
 import pytest
+from pyspark.ml.clustering import KMeans
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from kindred.operators import features, order_stats, pairwise, rank_clusters, regression
@@ -275,6 +277,37 @@ def test_kmeans_separates_groups(spark):
     assert sorted(map(list, groups.values())) == [[0], [1], [2]]
 
 
+def test_starts_share_their_rounds(spark):
+    """Run to the end, several starts find what Spark's best start finds, with one job a round for all of them."""
+    v = np.random.default_rng(2).normal(size=(600, 6))
+    points = point_frame(spark, v, [1 + i % 3 for i in range(len(v))])
+    data = points.withColumn("_v", array_to_vector("vector")).persist()
+    sc, known = spark.sparkContext, {}
+
+    def jobs(group, run):
+        sc.setJobGroup(group, group)
+        known[group] = run()
+        sc.setLocalProperty("spark.jobGroup.id", None)
+        return len(sc.statusTracker().getJobIdsForGroup(group))
+
+    def fits(rounds):
+        return [KMeans(k=3, seed=42 + s, featuresCol="_v", maxIter=rounds, tol=0.0).setWeightCol("weight").fit(data) for s in range(5)]
+
+    jobs("whole", lambda: fits(500))
+    begun = jobs("begun", lambda: fits(0))
+    made = jobs("made", lambda: features.kmeans(points, 3, weight="weight", starts=5, rounds=500, tolerance=0.0))
+    data.unpersist()
+    rounds = [m.summary.numIter for m in known["whole"]]
+    assert made - begun <= max(rounds) + 5 < sum(rounds)
+    best = min(known["whole"], key=lambda m: m.summary.trainingCost)
+
+    def groups(placed, column):
+        rows = placed.select("pid", column).collect()
+        return {frozenset(r.pid for r in rows if r[column] == c) for c in {r[column] for r in rows}}
+
+    assert groups(known["made"], "cluster") == groups(best.transform(data), "prediction")
+
+
 def test_misplaced_points_are_counted(spark):
     rows = [(i, [float(x)], 1, c) for i, (x, c) in enumerate([(0, 0), (1, 0), (9, 0), (10, 1), (11, 1)])]
     placed = spark.createDataFrame(rows, "pid long, vector array<double>, weight long, cluster int")
