@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from kindred.fixed import FIRST_SCORER_PICKS, SET_SIZE
 from kindred.operators.overlap import shared_phrases
-from kindred.sources.staging import cut, small
+from kindred.sources.staging import build_side, cut, small
 
 
 def _ranked_walk(scored: DataFrame, wanted: int, has_exit: bool) -> DataFrame:
@@ -43,16 +43,17 @@ def _ranked_walk(scored: DataFrame, wanted: int, has_exit: bool) -> DataFrame:
     )
 
 
-def _score(members: DataFrame, scorers: DataFrame, items: DataFrame, usable: DataFrame, n_scorers: int) -> DataFrame:
+def _score(members: DataFrame, scorers: DataFrame, items: DataFrame, usable: DataFrame, n_scorers: int, n_usable: int) -> DataFrame:
     """Add ``sim`` of each member to its scorer; no common word means 0.
 
-    ``usable`` holds the words of the members, ``items`` those of the scorers too.
+    ``usable`` holds the words of the members, ``items`` those of the scorers too.  Every scorer may share
+    words with every usable item, which Spark does not see in the size of the words: it would broadcast the pairs.
     """
     ids = scorers.select(F.col("scorer_id").alias("item_id")).distinct()
     chosen = items.join(small(ids, n_scorers), "item_id", "left_semi")
     anchors = cut(chosen.select(F.col("item_id").alias("anchor_id"), "tokens"))
     shared = shared_phrases(anchors, usable).withColumnRenamed("anchor_id", "scorer_id")
-    return members.join(shared, ["scorer_id", "item_id"], "left").withColumn(
+    return members.join(build_side(shared, n_scorers * n_usable), ["scorer_id", "item_id"], "left").withColumn(
         "sim", F.coalesce("shared", F.lit(0)) / F.col("n_phrases")
     )
 
@@ -78,16 +79,17 @@ def greedy_set(
     last = members.groupBy("anchor_id", "cluster_pos").agg(F.max("ord").alias("ord"))
     n_last, n_anchors = last.agg(F.count("*"), F.count_distinct("anchor_id")).first()
     marked = members.join(
-        small(last.withColumn("is_last", F.lit(True)), n_last), ["anchor_id", "cluster_pos", "ord"], "left"
+        build_side(last.withColumn("is_last", F.lit(True)), n_last), ["anchor_id", "cluster_pos", "ord"], "left"
     ).withColumn("is_last", F.coalesce("is_last", F.lit(False)))
     others = marked.where(F.col("item_id") != F.col("anchor_id"))
 
     # Only items that some set may use are split into words and compared.
     ids = cut(members.select("item_id").distinct())
-    usable = cut(items.select("item_id", "tokens").join(small(ids, ids.count()), "item_id", "left_semi"))
+    usable = cut(items.select("item_id", "tokens").join(build_side(ids, ids.count()), "item_id", "left_semi"))
+    n_usable = usable.count()
 
     anchors = members.select(F.col("anchor_id").alias("scorer_id")).distinct()
-    scored = _score(others.withColumn("scorer_id", F.col("anchor_id")), anchors, items, usable, n_anchors)
+    scored = _score(others.withColumn("scorer_id", F.col("anchor_id")), anchors, items, usable, n_anchors, n_usable)
     picks = first = cut(_ranked_walk(scored, min(first_span, size - 1), leave_clusters))
 
     if size - 1 > first_span and not first.where(F.col("step") == first_span).isEmpty():
@@ -104,7 +106,7 @@ def greedy_set(
             .join(small(taken, first_span * n_anchors), ["anchor_id", "item_id"], "left_anti")
         )
         second = _ranked_walk(
-            _score(left, turn, usable, usable, n_anchors), size - 1 - first_span, leave_clusters
+            _score(left, turn, usable, usable, n_anchors, n_usable), size - 1 - first_span, leave_clusters
         )
         picks = first.unionByName(second.withColumn("step", F.col("step") + first_span))
 

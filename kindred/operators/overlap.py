@@ -6,13 +6,14 @@ text of n words has n(n+1)/2 of them; none of them is ever built here, and repea
 both sides do not multiply (see ``kindred.operators.runs``).
 
 The anchors' words are counted first.  Up to the row bound they are broadcast and the catalog is read
-in one pass without a shuffle; its texts are compared where they lie.  Beyond it anchors and items are
+in one pass without a shuffle; its texts are compared where they lie, copies once a task.  Beyond it anchors and items are
 dealt into blocks of bounded size, and each pair of blocks is one group.
 Words are compared by 64-bit hashes, runs by 62-bit names.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,19 +29,30 @@ from kindred.sources import staging
 # Words of the items, and of the anchors, that meet in one group beyond the bound.
 ITEM_WORDS = 2_000_000
 ANCHOR_WORDS = 100_000
+# Counts that a task remembers of texts it has compared.
+REMEMBERED = 2_000_000
 
 
 def _coded(rows: DataFrame, key: str) -> DataFrame:
     return rows.where(F.col("tokens").isNotNull()).select(key, F.transform("tokens", lambda w: F.xxhash64(w)).alias("codes"))
 
 
-def _compared(a: Anchors, codes: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Numbers of anchor and item, shared phrases and words of the item, of pairs that share any."""
+def _compared(a: Anchors, codes: list[np.ndarray], met: dict[bytes, tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Numbers of anchor and item, shared phrases and words of the item, of pairs that share any.
+
+    ``met`` remembers the texts that the task has compared, by digest: copies are compared once.
+    """
     out = [(np.zeros(0, np.int64),) * 4]
     for i, own in enumerate(codes):
-        count = shared(a, own)
-        at = np.flatnonzero(count)
-        out.append((at, np.full(len(at), i), count[at], np.full(len(at), len(own))))
+        text = hashlib.blake2b(np.ascontiguousarray(own), digest_size=16).digest()
+        if text not in met:
+            if len(met) * a.n >= REMEMBERED:
+                met.clear()
+            count = shared(a, own)
+            at = np.flatnonzero(count)
+            met[text] = at, count[at]
+        at, count = met[text]
+        out.append((at, np.full(len(at), i), count, np.full(len(at), len(own))))
     return tuple(np.concatenate(c) for c in zip(*out, strict=True))
 
 
@@ -60,11 +72,11 @@ def _counted(anchors: DataFrame, items: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, a = known.value
-        names = pa.array(names, id_type)
+        names, met = pa.array(names, id_type), {}
         for batch in batches:
             lists = batch.column("codes")
             flat, ends = lists.values.to_numpy(), lists.offsets.to_numpy()
-            at, i, count, n = _compared(a, [flat[x:y] for x, y in zip(ends[:-1], ends[1:], strict=True)])
+            at, i, count, n = _compared(a, [flat[x:y] for x, y in zip(ends[:-1], ends[1:], strict=True)], met)
             yield pa.RecordBatch.from_arrays(
                 [names.take(pa.array(at)), batch.column("item_id").take(pa.array(i)), pa.array(count), pa.array(n)],
                 names=["anchor_id", "item_id", "shared", "n_words"],
@@ -87,7 +99,7 @@ def _by_blocks(anchors: DataFrame, items: DataFrame, n_words: int, schema: str)
 
     def meet(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
         a = Anchors.of([np.asarray(c, np.int64) for c in x["codes"]])
-        at, i, count, n = _compared(a, [np.asarray(c, np.int64) for c in y["codes"]])
+        at, i, count, n = _compared(a, [np.asarray(c, np.int64) for c in y["codes"]], {})
         return pd.DataFrame(
             {"anchor_id": x["anchor_id"].to_numpy()[at], "item_id": y["item_id"].to_numpy()[i], "shared": count, "n_words": n}
         )

@@ -11,7 +11,7 @@ from kindred.operators.decks import greedy_set
 from kindred.operators.labelsets import anchor_value, legal_items
 from kindred.operators.order_stats import grouped_values_at
 from kindred.operators.rank_clusters import assign_clusters
-from kindred.sources.staging import cut, small
+from kindred.sources.staging import build_side, cut
 
 
 def item_words(items: DataFrame) -> DataFrame:
@@ -57,8 +57,9 @@ def ranked_members_of(items: DataFrame, anchors: DataFrame, *, clusters: int = R
     Seeds are midpoints, as ``ranked_members`` has them.  Unknown anchors give no rows.
     """
     keyed = _sets(items, labels)
+    asked = cut(anchors.select("anchor_id").distinct())  # counted: else Spark might broadcast the catalog
     chosen = cut(
-        anchors.select("anchor_id").distinct().join(keyed.select(F.col("item_id").alias("anchor_id"), "_set", "_labels"), "anchor_id")
+        keyed.select(F.col("item_id").alias("anchor_id"), "_set", "_labels").join(build_side(asked, asked.count()), "anchor_id")
     )
     sets = cut(keyed.select("_set", "_labels").distinct())
     allowed = chosen.select(F.col("_set").alias("_allowed"), F.explode(F.array_union(F.transform("_labels", lambda x: F.concat(F.lit("="), x)), F.array(F.lit("")))).alias("label")).distinct()
@@ -67,7 +68,7 @@ def ranked_members_of(items: DataFrame, anchors: DataFrame, *, clusters: int = R
     needs = sets.select("_set", F.size(own).alias("n"), F.explode(own).alias("label"))
     legal = cut(needs.join(allowed, "label").groupBy("_allowed", "_set", "n").agg(F.count("*").alias("met")).where("met = n").select("_allowed", "_set"))
     pool = cut(
-        keyed.join(small(legal, legal.count()), "_set").select(
+        keyed.join(build_side(legal, legal.count()), "_set").select(
             "_allowed", "item_id", "ord", "rank", phrase_count(tokens("text")).alias("n_phrases")
         )
     )
@@ -90,13 +91,13 @@ def ranked_members_of(items: DataFrame, anchors: DataFrame, *, clusters: int = R
     seeds = cut(seeds)
     n_sets = seeds.count()
     far = F.array_min(F.transform("seeds", lambda s, i: F.struct(F.abs(F.col("rank") - s).alias("far"), i.alias("i"))))
-    nearest = pool.join(small(seeds, n_sets), "_allowed").withColumn("_seed", far["i"]).drop("seeds")
+    nearest = pool.join(build_side(seeds, n_sets), "_allowed").withColumn("_seed", far["i"]).drop("seeds")
     centroids = nearest.groupBy("_allowed", "_seed").agg(F.avg("rank").alias("centroid"))
     place = Window.partitionBy("_allowed").orderBy("centroid", "_seed")
     numbered = centroids.withColumn("cluster_pos", F.row_number().over(place) - 1)
-    placed = nearest.join(small(numbered, clusters * n_sets), ["_allowed", "_seed"]).drop("_seed")
+    placed = nearest.join(build_side(numbered, clusters * n_sets), ["_allowed", "_seed"]).drop("_seed")
     return (
-        placed.join(chosen.select("anchor_id", F.col("_set").alias("_allowed")), "_allowed")
+        placed.join(build_side(chosen.select("anchor_id", F.col("_set").alias("_allowed")), chosen.count()), "_allowed")
         .select("anchor_id", "item_id", "ord", "rank", "cluster_pos", "centroid", "n_phrases")
     )
 
@@ -115,5 +116,5 @@ def related_items(deck: DataFrame, current: DataFrame) -> DataFrame:
     members = deck.where(F.col("item_id") != F.col("anchor_id")).select(
         "anchor_id", "item_id", "rank", F.col("sim").alias("sim_score"), "deck_pos"
     )
-    joined = current.drop("rank").join(small(members, deck.count()), "item_id")
+    joined = current.drop("rank").join(build_side(members, deck.count()), "item_id")
     return joined.orderBy("anchor_id", F.col("sim_score").desc(), "rank", "deck_pos")

@@ -1,6 +1,7 @@
 """Overlap, item sets and rules against plain restatements."""
 
 import random
+import re
 import time
 
 import numpy as np
@@ -8,13 +9,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from kindred.functions.text import tokens
-from kindred.operators import runs
+from kindred.operators import decks, overlap, runs
 from kindred.operators.candidates import candidates
 from kindred.operators.decks import greedy_set
 from kindred.operators.overlap import shared_phrases, similarity
 from kindred.operators.rules import top_rules, triple_rules, triple_rules_mean
 from kindred.plans.related import anchor_set, anchor_sets, related_items
 from kindred.plans.upcoming import upcoming_recommendations
+from kindred.sources import staging
 
 
 def phrase_set(words):
@@ -251,6 +253,35 @@ def test_many_anchors_equal_one_at_a_time(spark):
     assert {(r.anchor_id, r.item_id) for r in found} == {(a, i) for (a, _), (i, _) in want.items() if i != a}
 
 
+def test_pairs_of_many_anchors_are_not_broadcast(spark, monkeypatch):
+    """Each anchor may share words with every item: past the row bound their pairs stay off the driver."""
+    monkeypatch.setattr(staging, "BROADCAST_ROW_BOUND", 60)
+    plans, walk = [], decks._ranked_walk
+
+    def seen(scored, *rest):
+        plans.append(scored._jdf.queryExecution().executedPlan().toString())
+        return walk(scored, *rest)
+
+    monkeypatch.setattr(decks, "_ranked_walk", seen)
+    rng = random.Random(15)
+    rows = [(i, i, " ".join(rng.choice("abcd") for _ in range(3)), [], float(i)) for i in range(80)]
+    items = spark.createDataFrame(rows, "item_id long, ord long, text string, labels array<string>, rank double")
+    found = anchor_sets(items, spark.createDataFrame([(a,) for a in (1, 2, 3, 9999)], "anchor_id long"))
+    assert {r.anchor_id for r in found.select("anchor_id").distinct().collect()} == {1, 2, 3}
+    joins = [j for p in plans for j in re.findall(r"(\w+Join) \[scorer_id#\d+L?, item_id#\d+L?\]", p)]
+    assert joins and set(joins) == {"SortMergeJoin"}
+
+
+def test_copies_of_a_text_are_compared_once(monkeypatch):
+    calls = []
+    monkeypatch.setattr(overlap, "shared", lambda a, own: calls.append(1) or runs.shared(a, own))
+    texts = [np.array(t, np.int64) for t in ([1, 2, 3], [2, 3], [1, 2, 3], [9], [2, 3], [])]
+    anchors = runs.Anchors.of([np.array([1, 2, 3], np.int64), np.array([3, 9], np.int64)])
+    at, item, count, n = overlap._compared(anchors, texts, {})
+    want = [(a, i, c, len(t)) for i, t in enumerate(texts) for a, c in enumerate(runs.shared(anchors, t)) if c]
+    assert list(zip(at, item, count, n, strict=True)) == want and len(calls) == 4
+
+
 def test_unknown_anchor_and_few_items(spark):
     rows = [(i, i, f"n{i}", t, [], float(i)) for i, t in enumerate(["a b", "a", "b c"])]
     items = spark.createDataFrame(
